@@ -1,0 +1,34 @@
+"""Table schemas the jobs pass to each other."""
+
+from pyspark.sql import types as T
+
+CORPUS = T.StructType([
+    T.StructField("id", T.LongType(), False),
+    T.StructField("text", T.StringType(), True),
+    T.StructField("label", T.IntegerType(), True),
+])
+
+EMBEDDINGS = T.StructType([
+    T.StructField("id", T.LongType(), False),
+    T.StructField("embedding", T.ArrayType(T.DoubleType()), False),
+])
+
+SCORED = T.StructType([
+    T.StructField("id", T.LongType(), False),
+    T.StructField("label", T.IntegerType(), True),
+    T.StructField("p_pos", T.DoubleType(), True),
+])
+
+STREAM_TEXTS = T.StructType([
+    T.StructField("id", T.LongType(), False),
+    T.StructField("text", T.StringType(), True),
+])
+
+
+def reviews(id_col: str, negative_col: str, positive_col: str) -> T.StructType:
+    """Wide review table under configured column names."""
+    return T.StructType([
+        T.StructField(id_col, T.LongType(), False),
+        T.StructField(negative_col, T.StringType(), True),
+        T.StructField(positive_col, T.StringType(), True),
+    ])
