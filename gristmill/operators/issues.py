@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gristmill.functions.scores import arg_max
-from gristmill.operators.ordering import exact_median
+from gristmill.operators.ordering import exact_median, keys_at_tied_ranks, with_quantile_bucket
 
 # Share of the median nearest distance below which two rows are near duplicates.
 NEAR_DUPLICATE_SHARE = 0.13
@@ -96,8 +96,6 @@ def _label_columns(flag: Column) -> list[Column]:
 
 
 def _noise_rate_issues(judged: DataFrame, classes: int) -> DataFrame:
-    from gristmill.operators.ordering import BUCKET, keys_at_ranks, with_quantile_bucket
-
     spark = judged.sparkSession
     # classes x classes counts.
     joint = {(r["label"], r["confident"]): r["n"] for r in judged.groupBy("label", "confident")
@@ -118,10 +116,9 @@ def _noise_rate_issues(judged: DataFrame, classes: int) -> DataFrame:
         ).filter("other <> label").select(
             F.concat_ws(">", "label", "other").alias("pair"), "id",
             (F.col("p")[F.col("label")] - F.col("p")[F.col("other")]).alias("margin"))
-        cuts = keys_at_ranks(with_quantile_bucket(pairs, "margin"),
-                             spark.createDataFrame(wanted, "pair string, cut int, rank long"),
-                             "pair", ["margin", "id"])
-        cuts = spark.createDataFrame(cuts.select("pair", "key").toArrow(), cuts.select("pair", "key").schema)
+        cuts = keys_at_tied_ranks(with_quantile_bucket(pairs, "margin"),
+                                  spark.createDataFrame(wanted, "pair string, cut int, rank long"),
+                                  "pair", "margin").select("pair", "key")
         flagged = pairs.join(F.broadcast(cuts), "pair") \
             .filter(F.struct("margin", "id") <= F.col("key")).select("id").distinct() \
             .withColumn("flagged", F.lit(True))

@@ -88,3 +88,30 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     lower = F.min(F.when(F.col("upto") >= F.floor((total + 1) / 2), F.col(column)))
     upper = F.min(F.when(F.col("upto") >= F.floor(total / 2) + 1, F.col(column)))
     return ranked.agg(((lower + upper) / 2.0).alias("median"))
+
+
+def keys_at_tied_ranks(rows: DataFrame, wanted: DataFrame, stratum: str, value: str) -> DataFrame:
+    """As ``keys_at_ranks`` for the order (``value``, id), where many rows may share a value.
+
+    The value at a rank comes from counts per distinct value. Only then are the rows that
+    have just that value ranked, by id, in even buckets of ids.
+    """
+    folded = rows.groupBy(stratum, BUCKET, value).agg(F.count("*").alias("n"))
+    offsets = folded.groupBy(stratum, BUCKET).agg(F.sum("n").alias("own")).select(
+        stratum, BUCKET,
+        (F.sum("own").over(Window.partitionBy(stratum).orderBy(BUCKET)) - F.col("own")).alias("offset"))
+    inside = F.sum("n").over(Window.partitionBy(stratum, BUCKET).orderBy(value))
+    below = F.col("offset") + F.col("upto") - F.col("n")
+    hits = folded.withColumn("upto", inside).join(offsets, [stratum, BUCKET]) \
+        .withColumn("below", below).join(F.broadcast(wanted), stratum) \
+        .filter((F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("n"))) \
+        .select(stratum, "cut", F.col(value).alias("at"), (F.col("rank") - F.col("below")).alias("rank"))
+    # As many rows as were asked for.
+    hits = rows.sparkSession.createDataFrame(hits.toArrow(), hits.schema)
+    step = F.concat_ws(":", F.col(stratum).cast("string"), F.col("cut").cast("string"))
+    tied = rows.join(F.broadcast(hits), stratum).filter(F.col(value) == F.col("at")).select(
+        step.alias("step"), "id")
+    keys = keys_at_ranks(with_quantile_bucket(tied, "id"),
+                         hits.select(step.alias("step"), "cut", "rank"), "step", ["id"])
+    return hits.select(step.alias("step"), stratum, "at").join(F.broadcast(keys), "step").select(
+        stratum, "cut", F.struct(F.col("at").alias(value), F.col("key")["id"].alias("id")).alias("key"))
