@@ -54,10 +54,11 @@ def outlier_issues(neighbours: DataFrame, threshold: float = OUTLIER_SCORE) -> D
                          score.alias("outlier_score"), "mean_distance")
 
 
-def _class_thresholds(scored: DataFrame, classes: int) -> DataFrame:
-    """One row: the mean self-confidence of each class, by class."""
-    return scored.agg(F.array(*[
-        F.avg(F.when(F.col("label") == c, F.col("p")[c])) for c in range(classes)]).alias("thresholds"))
+def _class_thresholds(scored: DataFrame, classes: int) -> Column:
+    """The mean self-confidence of each class, one number per class."""
+    means = scored.agg(*[
+        F.avg(F.when(F.col("label") == c, F.col("p")[c])).alias(f"c{c}") for c in range(classes)]).first()
+    return F.array(*[F.lit(m).cast("double") for m in means])
 
 
 def _confident_class(p: Column, thresholds: Column) -> Column:
@@ -76,7 +77,7 @@ def label_issues(
     confident disagreement say, the widest margins first.
     """
     scored = corpus.select("id", "label").join(probabilities.select("id", "p"), "id")
-    thresholds = _class_thresholds(scored, classes).scalar()
+    thresholds = _class_thresholds(scored, classes)
     judged = scored.select(
         "id", "label", "p", _confident_class(F.col("p"), thresholds).alias("confident"))
     if rule == "confident":
