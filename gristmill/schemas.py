@@ -19,11 +19,6 @@ SCORED = T.StructType([
     T.StructField("p_pos", T.DoubleType(), True),
 ])
 
-STREAM_TEXTS = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("text", T.StringType(), True),
-])
-
 
 def reviews(id_col: str, negative_col: str, positive_col: str) -> T.StructType:
     """Wide review table under configured column names."""
