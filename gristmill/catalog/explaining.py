@@ -12,7 +12,7 @@ def _weights(spark):
 
 def _found(spark, sf, **settings):
     return attribution.attribute_tokens(
-        inputs.corpus(spark, sf), _weights(spark), inputs.INTERCEPT, **settings)
+        inputs.corpus(spark, sf, per_token=True), _weights(spark), inputs.INTERCEPT, **settings)
 
 
 def _rows(found):
@@ -34,7 +34,7 @@ def token_effects(spark, sf):
 
 def attribution_samples(spark, sf):
     """All tokens of the first three texts of each class, probability at six decimals."""
-    found = attribution.explain_samples(inputs.corpus(spark, sf), _weights(spark), inputs.INTERCEPT)
+    found = attribution.explain_samples(inputs.corpus(spark, sf, per_token=True), _weights(spark), inputs.INTERCEPT)
     return found.select("id", "true_label", "pred_label", F.format_string("%.6f", "p_target").alias("pred_proba"),
                         "pos", "token", F.round("attr", 6).alias("attr"))
 

@@ -9,14 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gristmill.plans.lineage import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents: id, text, label."""
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents, id and text, dealt out for work on every token."""
+    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"))
+
+
+def corpus(spark: SparkSession, sf_dir: str, per_token: bool = False) -> DataFrame:
+    """Labelled documents: id, text, label; dealt out where work on every token follows."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    if per_token:
+        documents = spread(documents)
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return documents.join(labels, "doc_id").select(
         F.col("doc_id").alias("id"), "text", F.col("quality").alias("label"))

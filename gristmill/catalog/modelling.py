@@ -14,23 +14,19 @@ from gristmill.streaming import scoring
 SCORER = classifier.word_scorer(inputs.WORD_WEIGHTS, inputs.INTERCEPT)
 
 
-def _documents(spark, sf):
-    return inputs.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
-
-
 def _result(scored):
     return scored.select("id", F.round("p_pos", 6).alias("p_pos"), "pred", "label_name")
 
 
 def tokenize(spark, sf):
-    tokens = classifier.tokenize(_documents(spark, sf))
+    tokens = classifier.tokenize(inputs.texts(spark, sf))
     return tokens.select("id", F.size("tokens").alias("tokens"),
                          F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
 def tokenize_cut(spark, sf):
     """At most 512 tokens of each text, the input size of the models the job stands in for."""
-    tokens = classifier.tokenize(_documents(spark, sf), max_tokens=512)
+    tokens = classifier.tokenize(inputs.texts(spark, sf), max_tokens=512)
     return tokens.select("id", F.size("tokens").alias("tokens"),
                          F.md5(F.array_join("tokens", " ")).alias("digest"))
 
@@ -38,7 +34,7 @@ def tokenize_cut(spark, sf):
 def score_by_table(spark, sf):
     weights = spark.createDataFrame(list(inputs.WORD_WEIGHTS.items()), "token string, weight double")
     return _result(classifier.score_texts(
-        _documents(spark, sf), lambda df: classifier.score_by_table(df, weights, inputs.INTERCEPT)))
+        inputs.texts(spark, sf), lambda df: classifier.score_by_table(df, weights, inputs.INTERCEPT)))
 
 
 def oof_logreg_probs(spark, sf):
@@ -48,7 +44,7 @@ def oof_logreg_probs(spark, sf):
 
 
 def _trained(spark, sf):
-    splits = settle(sampling.split_corpus(inputs.corpus(spark, sf)))
+    splits = settle(sampling.split_corpus(inputs.corpus(spark, sf, per_token=True)))
     trained = classifier.train_classifier(
         splits.filter("split = 'train'"), splits.filter("split = 'valid'"))
     return splits, trained
@@ -86,7 +82,7 @@ def full_run(spark, sf):
 QUERIES = {
     "tokenize": tokenize,
     "tokenize_cut": tokenize_cut,
-    "batch_score": lambda spark, sf: _result(classifier.score_texts(_documents(spark, sf), SCORER)),
+    "batch_score": lambda spark, sf: _result(classifier.score_texts(inputs.texts(spark, sf), SCORER)),
     "score_by_table": score_by_table,
     "oof_logreg_probs": oof_logreg_probs,
     "train_select_score": train_select_score,

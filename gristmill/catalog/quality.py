@@ -32,7 +32,7 @@ def probs_sql(source: str, result: str = "probs") -> str:
 def label_sql(source: str, result: str = "labelled") -> str:
     """SQL fragment: confident-learning flags over ``probs``."""
     return f"""{result}_bars AS (
-  SELECT avg(p0) FILTER (WHERE label = 0) AS t0, avg(p1) FILTER (WHERE label = 1) AS t1
+  SELECT avg(p0) FILTER (WHERE label = 0) - 1e-6 AS t0, avg(p1) FILTER (WHERE label = 1) - 1e-6 AS t1
   FROM {source} JOIN probs USING (id)),
 {result}_judged AS (
   SELECT c.id, c.label, p0, p1, CASE WHEN label = 0 THEN p0 ELSE p1 END AS label_score,
@@ -90,7 +90,7 @@ def mildest_label_issues(spark, sf):
 
 
 def _pass(spark, sf, **settings):
-    return quality_pass(inputs.corpus(spark, sf), prober=label_model.centroid_probabilities,
+    return quality_pass(inputs.corpus(spark, sf, per_token=True), prober=label_model.centroid_probabilities,
                         outlier_score=DOC_OUTLIER_SCORE, **settings)
 
 

@@ -11,7 +11,7 @@ MIN_ROWS = 20
 
 
 def _scored(spark, sf):
-    return settle(SCORER(inputs.corpus(spark, sf)))
+    return settle(SCORER(inputs.corpus(spark, sf, per_token=True)))
 
 
 def _six(df, *names):
@@ -24,11 +24,11 @@ QUERIES = {
     "confidence_scan": lambda spark, sf: _six(
         scan.confidence_scan(_scored(spark, sf), sure=0.7, min_rows=MIN_ROWS), "rate", "overall", "lift"),
     "perturbation_scan": lambda spark, sf: _six(
-        scan.perturbation_scan(inputs.corpus(spark, sf), SCORER), "mean_shift", "rate"),
+        scan.perturbation_scan(inputs.corpus(spark, sf, per_token=True), SCORER), "mean_shift", "rate"),
     "swap_scan": lambda spark, sf: _six(
-        scan.swap_scan(inputs.corpus(spark, sf), SCORER), "mean_shift", "rate"),
+        scan.swap_scan(inputs.corpus(spark, sf, per_token=True), SCORER), "mean_shift", "rate"),
     "scan_findings": lambda spark, sf: _six(
-        scan.scan(inputs.corpus(spark, sf), SCORER, MIN_ROWS), "value", "reference"),
+        scan.scan(inputs.corpus(spark, sf, per_token=True), SCORER, MIN_ROWS), "value", "reference"),
 }
 
 _SCORED = f"{inputs.CORPUS}, {inputs.WEIGHTS}, {inputs.word_scores('corpus')}"

@@ -13,6 +13,7 @@ from gristmill.operators.ordering import exact_median, keys_at_tied_ranks, with_
 NEAR_DUPLICATE_SHARE = 0.13
 # A row whose neighbours are 2.7 times as far as usual scores exp(-2.7).
 OUTLIER_SCORE = math.exp(-2.7)
+TOLERANCE = 1e-6
 
 
 def near_duplicate_cutoff(neighbours: DataFrame, share: float = NEAR_DUPLICATE_SHARE) -> float:
@@ -58,7 +59,8 @@ def _class_thresholds(scored: DataFrame, classes: int) -> Column:
     """The mean self-confidence of each class, one number per class."""
     means = scored.agg(*[
         F.avg(F.when(F.col("label") == c, F.col("p")[c])).alias(f"c{c}") for c in range(classes)]).first()
-    return F.array(*[F.lit(m).cast("double") for m in means])
+    # A class whose rows all have one probability must still reach its own mean.
+    return F.array(*[F.lit(None if m is None else m - TOLERANCE).cast("double") for m in means])
 
 
 def _confident_class(p: Column, thresholds: Column) -> Column:

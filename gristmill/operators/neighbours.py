@@ -20,14 +20,19 @@ Distances are rounded to six digits and ties go to the lower id.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gristmill.plans.lineage import settle
 
+# Task functions travel whole, so executors do not need this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DIGITS = 6
 # Distances this close may round to the same value, so pruning must keep them.
 SLACK = 2e-6
@@ -107,14 +112,18 @@ def build_index(df: DataFrame, cell_rows: int = 2048, block_rows: int = 4096, se
     members, distinct = _fold_copies(df.select("id", "embedding"))
     members = settle(members)
     vectors = settle(distinct.mapInArrow(_unit, "grp long, copies long, vec array<double>"))
-    n = vectors.count()
-
-    width = len(vectors.select("vec").first()[0]) if n else 1
-    cells = max(1, math.ceil(n / max(cell_rows, math.isqrt(n))))
+    n, width = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
+    cells = 1 if n <= block_rows else math.ceil(n / max(cell_rows, math.isqrt(n)))
     cells = max(1, min(cells, MAX_CELLS, PIVOT_BYTES // (8 * width)))
+    if cells == 1:
+        # Any pivot will do; the cell's bounds say nothing.
+        blocks = max(1, math.ceil(n / block_rows))
+        groups = vectors.select("*", F.lit(0).alias("cell"),
+                                F.pmod(F.xxhash64("grp"), F.lit(blocks)).cast("int").alias("block"))
+        return VectorIndex(members, groups, np.zeros((1, width)), np.zeros(1), np.full(1, np.inf),
+                           np.full(1, blocks, dtype=np.int32))
     order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("grp").cast("string")))
-    chosen = vectors.orderBy(order, "grp").limit(cells).select("vec").toArrow()
-    pivots = _matrix(chosen.column("vec")) if n else np.zeros((1, width))
+    pivots = _matrix(vectors.orderBy(order, "grp").limit(cells).select("vec").toArrow().column("vec"))
 
     def assign(batches):
         for batch in _slices(batches):

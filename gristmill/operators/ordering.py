@@ -57,10 +57,10 @@ def keys_at_ranks(rows: DataFrame, wanted: DataFrame, stratum: str, order: list[
     hits = spans.join(F.broadcast(wanted), stratum) \
         .filter((F.col("rank") > F.col("below")) & (F.col("rank") <= F.col("below") + F.col("n"))) \
         .select(stratum, BUCKET, "cut", (F.col("rank") - F.col("below")).alias("within"))
-    number = F.row_number().over(Window.partitionBy(stratum, BUCKET).orderBy(*order))
-    boundary = rows.join(hits.select(stratum, BUCKET).distinct(), [stratum, BUCKET], "left_semi")
-    return boundary.withColumn("number", number) \
-        .join(hits, [stratum, BUCKET]) \
+    # No more hits than wanted ranks.
+    number = F.row_number().over(Window.partitionBy(stratum, BUCKET, "cut").orderBy(*order))
+    return rows.join(F.broadcast(hits), [stratum, BUCKET]) \
+        .withColumn("number", number) \
         .filter(F.col("number") == F.col("within")) \
         .select(stratum, "cut", F.struct(*order).alias("key"))
 

@@ -40,3 +40,13 @@ def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
     if table.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A file scan with at least one partition per core, for work that is heavy per row.
+
+    Does nothing where the files already give enough splits, as any large table does; only
+    a small table in one file, which a single task would read, is dealt out.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
