@@ -1,10 +1,11 @@
 """Registered queries with, where SQL can say it, an equivalent statement to check against."""
 
 from gristmill.catalog import (
-    cleaning, explaining, modelling, neighbouring, profiling, quality, sampling, scanning, scoring,
+    cleaning, explaining, modelling, neighbouring, profiling, quality, sampling, scanning, scoring, storing,
 )
 
-MODULES = (cleaning, profiling, sampling, scoring, neighbouring, quality, modelling, scanning, explaining)
+MODULES = (
+    cleaning, profiling, sampling, scoring, neighbouring, quality, modelling, scanning, explaining, storing)
 
 
 def queries():

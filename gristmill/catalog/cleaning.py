@@ -7,14 +7,14 @@ from gristmill.functions import text as tx
 from gristmill.operators import clean
 
 # SQL text of the white-space characters and of the boilerplate test.
-_SPACES = "concat(" + ", ".join(f"chr({ord(c)})" for c in tx.WHITE_SPACE) + ")"
+SPACES = "concat(" + ", ".join(f"chr({ord(c)})" for c in tx.WHITE_SPACE) + ")"
 _TERMS = "(?i)(" + "|".join(tx.BOILERPLATE_TERMS) + ")"
 
 LONG = inputs.REVIEWS + f""",
 long AS (
-  SELECT id * 2 AS id, trim(negative, {_SPACES}) AS text, 0 AS label FROM reviews
+  SELECT id * 2 AS id, trim(negative, {SPACES}) AS text, 0 AS label FROM reviews
   UNION ALL
-  SELECT id * 2 + 1, trim(positive, {_SPACES}), 1 FROM reviews),
+  SELECT id * 2 + 1, trim(positive, {SPACES}), 1 FROM reviews),
 fates AS (
   SELECT id, lower(text) AS text, label,
     CASE WHEN text IS NULL THEN 'null'

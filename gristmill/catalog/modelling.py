@@ -94,7 +94,7 @@ QUERIES = {
 
 _DOCS = "docs AS (SELECT doc_id AS id, text FROM documents)"
 _TERMS = "(?i)(" + "|".join(tx.BOILERPLATE_TERMS) + ")"
-_SPACES = "concat(" + ", ".join(f"chr({ord(c)})" for c in tx.WHITE_SPACE) + ")"
+SPACES = "concat(" + ", ".join(f"chr({ord(c)})" for c in tx.WHITE_SPACE) + ")"
 _SCORES = """SELECT id, round(p_pos, 6) AS p_pos, CAST(p_pos >= 0.5 AS INTEGER) AS pred,
   CASE WHEN p_pos >= 0.5 THEN 'positive' ELSE 'negative' END AS label_name FROM word_scored"""
 
@@ -105,7 +105,7 @@ FROM (SELECT doc_id AS id, {inputs.TOKEN_LIST} AS tokens FROM documents)""",
 FROM (SELECT doc_id AS id, list_slice({inputs.TOKEN_LIST}, 1, 512) AS tokens FROM documents)""",
     "batch_score": f"WITH {_DOCS}, {inputs.WEIGHTS}, {inputs.word_scores('docs')} {_SCORES}",
     "score_by_table": f"WITH {_DOCS}, {inputs.WEIGHTS}, {inputs.word_scores('docs')} {_SCORES}",
-    "stream_score": f"""WITH stripped AS (SELECT doc_id AS id, lower(trim(text, {_SPACES})) AS text FROM documents),
+    "stream_score": f"""WITH stripped AS (SELECT doc_id AS id, lower(trim(text, {SPACES})) AS text FROM documents),
 kept AS (SELECT * FROM stripped WHERE NOT regexp_full_match(text, '{_TERMS}') AND length(text) >= 1),
 {inputs.WEIGHTS}, {inputs.word_scores('kept')} {_SCORES}""",
 }

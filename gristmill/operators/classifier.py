@@ -14,8 +14,8 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, CountVectorizer, HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gristmill.functions import text as tx
 from gristmill.functions.scores import predicted, sigmoid
@@ -103,6 +103,13 @@ def model_scorer(model: PipelineModel) -> Scorer:
     return score
 
 
+def outside_scorer(make_predict, batch_size: int = 64) -> Scorer:
+    """Any loaded text model as a scorer. ``make_predict`` runs once per Python worker and
+    returns a function from an array of texts to an array of positive-class probabilities."""
+    predict = predict_batch_udf(make_predict, return_type=T.DoubleType(), batch_size=batch_size)
+    return lambda df: df.withColumn("p_pos", predict("text"))
+
+
 def word_scorer(weights: dict[str, float], intercept: float = 0.0) -> Scorer:
     """Linear scorer over a short word list, as one expression per row."""
     if len(weights) > MAP_WORDS:

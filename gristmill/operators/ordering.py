@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = "bucket"
+# A table measured to have no more rows than this is one bucket: a single task sorts it at once.
+ONE_TASK_ROWS = 100_000
 
 
 def hash_key(seed: int, id_col: str = "id") -> Column:
@@ -30,6 +32,8 @@ def with_quantile_bucket(df: DataFrame, column: str, buckets: int = 1024) -> Dat
     Rows equal in ``column`` share a bucket. The splits, at most ``buckets`` numbers,
     come from a quantile sketch; only balance depends on the sketch, never a result.
     """
+    if df.count() <= ONE_TASK_ROWS:
+        return df.withColumn(BUCKET, F.lit(0.0))
     shares = [i / buckets for i in range(1, buckets)]
     narrow = df.select(F.col(column).cast("double").alias(column))
     found = narrow.approxQuantile(column, shares, 0.25 / buckets)
@@ -81,7 +85,10 @@ def with_running_count(per_value: DataFrame, column: str, measure: str) -> DataF
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, ``median``. Equal values are folded before they are ranked."""
-    per_value = with_quantile_bucket(df.select(column).filter(F.col(column).isNotNull()), column) \
+    values = df.select(column).filter(F.col(column).isNotNull())
+    if values.count() <= ONE_TASK_ROWS:
+        return values.agg(F.percentile(column, F.lit(0.5)).alias("median"))
+    per_value = with_quantile_bucket(values, column) \
         .groupBy(BUCKET, column).agg(F.count("*").alias("n"))
     ranked = with_running_count(per_value, column, "n")
     total = per_value.agg(F.sum("n")).scalar()

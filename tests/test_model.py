@@ -54,10 +54,13 @@ def test_run_learns_and_writes_every_stage(spark, run):
 
 def test_attribution_files(spark, run):
     base, _ = run
-    table = spark.read.option("sep", "\t").option("header", True).csv(f"{base}/explain")
-    assert set(table.columns) == {"sample", "pos", "true_label", "pred_label", "pred_proba", "text", "token", "attr"}
-    assert table.select("sample").distinct().count() == 6
-    assert all(len(r.pred_proba.split(".")[1]) == 6 for r in table.select("pred_proba").collect())
+    samples = spark.read.options(**sinks.TSV).csv(f"{base}/explain/samples")
+    assert samples.columns == ["sample", "true_label", "pred_label", "pred_proba", "text"]
+    rows = samples.collect()
+    assert len(rows) == 6 and all(len(r.pred_proba.split(".")[1]) == 6 for r in rows)
+    tokens = spark.read.options(**sinks.TSV).csv(f"{base}/explain/tokens")
+    assert set(tokens.columns) == {"sample", "pos", "token", "attr"}
+    assert {str(r.sample) for r in tokens.select("sample").distinct().collect()} == {r.sample for r in rows}
 
 
 def test_issue_log_text(spark, run):
@@ -122,6 +125,14 @@ def test_scorers_agree(spark):
         classifier.word_scorer({str(i): 1.0 for i in range(300)})
 
 
+def test_outside_scorer(spark):
+    def make():
+        import numpy as np
+        return lambda texts: np.array([len(t) / 10.0 for t in texts])
+    got = classifier.outside_scorer(make)(corpus(spark, [(1, "abc", 1), (2, "abcde", 0)])).collect()
+    assert {r.id: r.p_pos for r in got} == {1: 0.3, 2: 0.5}
+
+
 def test_attributions(spark):
     df = corpus(spark, [(1, "good bad good", 1), (2, "nothing known", 0)])
     weights = spark.createDataFrame([("good", 0.5), ("bad", -1.0)], "token string, weight double")
@@ -170,6 +181,15 @@ def test_small_expressions(spark):
     assert row.p == pytest.approx(1 / (1 + 2.718281828459045 ** -1.0))
 
 
+def test_texts_survive_the_sample_table(spark, tmp_path):
+    text = 'a\tb\\n "quoted"\r\nline\\'
+    df = corpus(spark, [(1, text, 1)])
+    weights = spark.createDataFrame([("a", 1.0)], "token string, weight double")
+    sinks.write_attributions(attribution.explain_samples(df, weights), df, f"{tmp_path}/x")
+    rows = spark.read.options(**sinks.TSV).csv(f"{tmp_path}/x/samples").collect()
+    assert [r.text for r in rows] == ['a\\tb\\\\n "quoted"\\r\\nline\\\\']
+
+
 def test_issue_log_lines(spark):
     log = spark.createDataFrame(
         [(1, "label", 1, 0, "NEGATIVE", 0.1, 0, 1, "x"), (1, "outlier", 2, 1, "POSITIVE", 0.25, None, None, "y")],

@@ -72,7 +72,9 @@ def test_seed_changes_the_sample(spark):
     assert a != b
 
 
-def test_folds_are_even_runs_of_ids(spark):
+@pytest.mark.parametrize("one_task_rows", [0, 100_000])
+def test_folds_are_even_runs_of_ids(spark, monkeypatch, one_task_rows):
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", one_task_rows)
     rows = sampling.assign_folds(table(spark, 103, positives=23), folds=4).collect()
     for label in (0, 1):
         ordered = [r.fold for r in sorted(rows, key=lambda r: r.id) if r.label == label]
@@ -88,15 +90,18 @@ def test_full_rows_are_not_shuffled(spark):
 
 
 @pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0] * 40 + [1.0, 9.0], [float(i % 7) for i in range(101)]])
-def test_exact_median(spark, values):
+@pytest.mark.parametrize("one_task_rows", [0, 100_000])
+def test_exact_median(spark, monkeypatch, values, one_task_rows):
     import statistics
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", one_task_rows)
     df = spark.createDataFrame([(v,) for v in values], "d double")
     assert ordering.exact_median(df, "d").first()["median"] == statistics.median(values)
 
 
-@pytest.mark.parametrize("rank", [1, 40, 250, 333, 399, 400])
-def test_ranks_inside_a_hot_value(spark, rank):
+@pytest.mark.parametrize("rank", [1, 250, 400])
+def test_ranks_inside_a_hot_value(spark, monkeypatch, rank):
     """A value held by most rows is ranked by id, in buckets of ids."""
+    monkeypatch.setattr(ordering, "ONE_TASK_ROWS", 0)
     df = spark.range(400).select(
         "id", F.lit(0).alias("s"), F.when(F.col("id") % 10 < 8, 0.5).otherwise(F.col("id") / 400.0).alias("v"))
     wanted = spark.createDataFrame([(0, 0, rank)], "s int, cut int, rank long")
