@@ -170,8 +170,13 @@ _ROUND = f"{_START}, {_round_sql(1, 'start', 'done')}"
 SQL = {
     "oof_centroid_probs": f"""WITH {inputs.NOISY}, {probs_sql('noisy')}
 SELECT id, fold, round(p0, 6) AS p0, round(p1, 6) AS p1 FROM probs""",
-    "prob_table_check": """SELECT count(*) AS corpus_rows, count(*) AS scored_rows, CAST(0 AS BIGINT) AS unscored,
-  CAST(0 AS BIGINT) AS unknown, 2 AS min_size, 2 AS max_size, true AS valid FROM embeddings""",
+    "prob_table_check": f"""WITH {inputs.NOISY}, {probs_sql('noisy')}
+SELECT count(n.id) AS corpus_rows, count(p.id) AS scored_rows, count(*) FILTER (WHERE p.id IS NULL) AS unscored,
+  count(*) FILTER (WHERE n.id IS NULL) AS unknown, CAST(min(len([p0, p1])) AS INTEGER) AS min_size,
+  CAST(max(len([p0, p1])) AS INTEGER) AS max_size,
+  count(n.id) = count(p.id) AND count(*) FILTER (WHERE p.id IS NULL OR n.id IS NULL) = 0
+    AND min(len([p0, p1])) = 2 AND max(len([p0, p1])) = 2 AS valid
+FROM noisy n FULL JOIN probs p ON n.id = p.id""",
     "label_issues": f"WITH {_NOISY} SELECT {_LABEL_COLUMNS} FROM labelled",
     "label_issues_noise_rate": f"""WITH {_NOISY},
 joint AS (

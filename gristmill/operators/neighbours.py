@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gristmill.plans.joins import hot_join
 from gristmill.plans.lineage import settle
 
 # Task functions travel whole, so executors do not need this package installed.
@@ -100,8 +101,10 @@ def _fold_copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     keyed = df.select(
         "id", "embedding",
         F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(1), F.col("embedding")).alias("k2"))
-    folded = keyed.groupBy("k1", "k2").agg(F.min("id").alias("grp"), F.count("*").alias("copies"))
-    members = keyed.select("id", "k1", "k2").join(folded.drop("copies"), ["k1", "k2"]).select("id", "grp")
+    folded = settle(keyed.groupBy("k1", "k2").agg(F.min("id").alias("grp"), F.count("*").alias("copies")))
+    members = hot_join(
+        keyed.select("id", "k1", "k2"), folded.select("k1", "k2", "grp"), ["k1", "k2"],
+        folded.withColumnRenamed("copies", "n")).select("id", "grp")
     distinct = keyed.select(F.col("id").alias("grp"), "embedding").join(
         folded.select("grp", "copies"), "grp")
     return members, distinct
@@ -267,6 +270,10 @@ def _candidates(index: VectorIndex, k: int) -> DataFrame:
     return near_home.unionByName(abroad).withColumn("rank", best).filter(F.col("rank") <= k).drop("rank")
 
 
+def _copies(index: VectorIndex) -> DataFrame:
+    return index.groups.select("grp", F.col("copies").alias("n"))
+
+
 def knn(index: VectorIndex, k: int = 10) -> DataFrame:
     """(id, neighbours): the ``k`` nearest other rows of every row as an ordered array of
     (d, id), by rounded distance, then id."""
@@ -281,7 +288,8 @@ def knn(index: VectorIndex, k: int = 10) -> DataFrame:
     lists = members_of.select("grp", "d", F.explode("ids").alias("id")).groupBy("grp").agg(
         F.slice(F.sort_array(F.collect_list(F.struct("d", "id"))), 1, k + 1).alias("near"))
     others = F.filter("near", lambda x: x["id"] != F.col("id"))
-    return index.members.join(lists, "grp").select("id", F.slice(others, 1, k).alias("neighbours"))
+    return hot_join(index.members, lists, ["grp"], _copies(index)).select(
+        "id", F.slice(others, 1, k).alias("neighbours"))
 
 
 def within(index: VectorIndex, radius: float) -> DataFrame:
@@ -316,5 +324,6 @@ def within(index: VectorIndex, radius: float) -> DataFrame:
     own = F.when(F.col("id") != F.col("grp"), F.col("grp"))
     second = index.members.filter("id <> grp").groupBy("grp").agg(F.min("id").alias("second"))
     own_first = F.when(F.col("id") == F.col("grp"), F.col("second")).otherwise(own)
-    return index.members.join(around, "grp").join(second, "grp", "left").select(
+    facts = around.join(second, "grp", "left")
+    return hot_join(index.members, facts, ["grp"], _copies(index)).select(
         "id", others.alias("others"), F.least(own_first, F.col("first")).alias("first_other"))

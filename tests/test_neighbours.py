@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from gristmill.operators import issues, neighbours as nb, repair
+from gristmill.plans import joins
 from gristmill.plans.lineage import settle
 
 
@@ -23,7 +24,9 @@ def shapes():
 
 @pytest.mark.parametrize("shape", sorted(shapes()))
 @pytest.mark.parametrize("cell_rows, block_rows", [(2048, 4096), (16, 12)])
-def test_exact(spark, shape, cell_rows, block_rows):
+def test_exact(spark, monkeypatch, shape, cell_rows, block_rows):
+    if block_rows == 12:
+        monkeypatch.setattr(joins, "HOT_ROWS", 20)
     raw = shapes()[shape]
     ids = np.random.default_rng(0).permutation(len(raw) * 3)[:len(raw)]
     df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, raw)],
@@ -68,3 +71,16 @@ def test_sets_of_three(spark):
     assert {r.id for r in repair.drop_near_duplicates(df, found).collect()}.isdisjoint({1, 2, 3})
     left = repair.drop_near_duplicates(df, found, "first", nb.within(index, 0.001)).collect()
     assert {1, 2, 3} & {r.id for r in left} == {1}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_hot_keys_are_dealt_out(spark, monkeypatch, how):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(joins, "HOT_ROWS", 10)
+    left = spark.range(100).select("id", F.when(F.col("id") < 60, 0).otherwise(F.col("id") % 7).alias("k"))
+    right = spark.createDataFrame([(k, f"v{k}") for k in (0, 1, 2, 3, 9)], "k long, v string")
+    counts = left.groupBy("k").agg(F.count("*").alias("n"))
+    got = joins.hot_join(left, right, ["k"], counts, how)
+    want = left.join(right, "k", how)
+    assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))
+    assert "__part" in got._jdf.queryExecution().analyzed().toString() and "__part" not in got.columns
