@@ -47,3 +47,16 @@ def dealt(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """
     wanted = partitions or df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+
+
+def join_sliced(rows: DataFrame, verdict: DataFrame, key: list[str], spread_by: str, slice_rows: int = 100_000) -> DataFrame:
+    """Inner join of ``rows`` with ``verdict`` (one row per key) where a key may hold most rows.
+
+    Rows are dealt into slices by a hash of ``spread_by``. The verdict meets each slice's
+    distinct keys, so it is repeated once per slice at most, and a slice joins only its own
+    rows. ``rows`` is read three times; hand in a table that is written.
+    """
+    slices = max(1, -(-rows.count() // slice_rows))
+    placed = rows.withColumn("__slice", F.pmod(F.xxhash64(spread_by), F.lit(slices)))
+    told = placed.select("__slice", *key).distinct().join(verdict, key)
+    return placed.join(told, ["__slice", *key]).drop("__slice")

@@ -4,12 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gristmill.llm import exact_dedup
+from gristmill.llm import exact_dedup, line_dedup, mixing, simhash
 from gristmill.llm.common import table
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.summary(table(spark, sf_dir, "documents"))
+
+
+OP1 = """
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+windows AS (
+  SELECT doc_id, p, array_to_string(lines[p + 1:p + 3], chr(10)) AS w
+  FROM split, unnest(range(0, len(lines) - 2)) t(p)
+  WHERE array_to_string(lines[p + 1:p + 3], '') <> ''),
+later AS (
+  SELECT doc_id, p FROM (
+    SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS k FROM windows)
+  WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, p + s AS line FROM later, unnest([0, 1, 2]) t(s)),
+runs AS (
+  SELECT doc_id, count(*) AS n_removed, count(*) FILTER (fresh) AS n_spans FROM (
+    SELECT doc_id, line - lag(line, 1, -9) OVER (PARTITION BY doc_id ORDER BY line) > 1 AS fresh FROM gone)
+  GROUP BY doc_id),
+rest AS (
+  SELECT doc_id, string_agg(lines[l + 1], chr(10) ORDER BY l) AS kept
+  FROM split, unnest(range(0, len(lines))) t(l)
+  WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = split.doc_id AND g.line = l)
+  GROUP BY doc_id)
+SELECT doc_id, len(lines) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN runs USING (doc_id) LEFT JOIN rest USING (doc_id)"""
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.decide(table(spark, sf_dir, "documents"), keep="last")
     return found.select(
@@ -23,9 +53,60 @@ sized AS (
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(low) AS text_sha256
 FROM lowered JOIN sized USING (low)"""
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+# A source is capped while the level at which it would be the next open one lies above it.
+OP3 = r"""
+WITH sized AS (
+  SELECT doc_id, source, md5('0:' || doc_id::VARCHAR) AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM sized GROUP BY source),
+steps AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2.0::DOUBLE * source_size) OVER before, 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM sources WINDOW before AS (
+    ORDER BY 2.0::DOUBLE * source_size / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+final AS (
+  SELECT level FROM steps WHERE level * weight <= 2.0::DOUBLE * source_size
+  ORDER BY 2.0::DOUBLE * source_size / weight, source LIMIT 1),
+aims AS (
+  SELECT source, source_size,
+    CASE WHEN final.level * weight > 2.0::DOUBLE * source_size THEN 2.0::DOUBLE * source_size
+      ELSE final.level * weight END AS target
+  FROM sources, final),
+ordered AS (
+  SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM sized),
+cut AS (
+  SELECT o.*, a.source_size, a.target, floor(a.target)::BIGINT AS budget,
+    CASE WHEN a.source_size > 0 THEN floor(a.target)::BIGINT // a.source_size ELSE 0 END AS epochs
+  FROM ordered o JOIN aims a ON o.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target,
+  (epochs * size + greatest(0, least(size, budget - epochs * source_size - ahead)))::BIGINT AS taken
+FROM cut"""
+
+def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_source_mix": op3_source_mix,
+    "op10_simhash_groups": op10_simhash_groups,
 }
 SQL = {
+    "op1_line_dedup": OP1,
     "op2_exact_dedup": OP2,
+    "op3_source_mix": OP3,
 }
