@@ -21,7 +21,7 @@ from gristmill.plans.lineage import settle
 
 LINES = 3
 SLICE_ROWS = 100_000
-ID, CHECK, GONE = "__id", "__check", "__gone"
+ID, CHECK, GONE, STARTS = "__id", "__check", "__gone", "__starts"
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -45,7 +45,7 @@ def windows(keyed: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def later_windows(keyed: DataFrame, text_col: str = "text", slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """id, check and ``starts``: where a document repeats a window that stands earlier."""
+    """id, check and ``__starts``: where a document repeats a window that stands earlier."""
     found = settle(windows(keyed, text_col))
     slices = max(1, -(-found.count() // slice_rows))
     placed = found.withColumn("slice", F.pmod(F.xxhash64(ID), F.lit(slices)))
@@ -55,7 +55,7 @@ def later_windows(keyed: DataFrame, text_col: str = "text", slice_rows: int = SL
         .filter("n > 1").select("digest", "first")
     told = leaves.select("slice", "digest").join(repeated, "digest")
     return placed.join(told, ["slice", "digest"]).filter(~at.eqNullSafe(F.col("first"))) \
-        .groupBy(ID, CHECK).agg(F.collect_set("pos").alias("starts"))
+        .groupBy(ID, CHECK).agg(F.collect_set("pos").alias(STARTS))
 
 
 def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -63,12 +63,12 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_
     keyed = _keyed(docs, id_col, text_col)
     later = later_windows(keyed, text_col, slice_rows).withColumnsRenamed({ID: "__i", CHECK: "__c"})
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform(
-        "starts", lambda p: F.sequence(p, p + LINES - 1)))))
+        STARTS, lambda p: F.sequence(p, p + LINES - 1)))))
     none = F.array().cast("array<int>")
     return keyed.join(later, F.col(ID).eqNullSafe(F.col("__i")) & (F.col(CHECK) == F.col("__c")), "left") \
         .withColumn(GONE, F.coalesce(covered, none)) \
         .withColumn("__lines", F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")) \
-        .drop("__i", "__c", "starts", ID, CHECK)
+        .drop("__i", "__c", STARTS, ID, CHECK)
 
 
 def kept_lines() -> Column:

@@ -108,7 +108,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The mix itself: a row per document and epoch, with ``epoch`` (from 1) and ``words``.
 
     ``words`` is the number of leading words to read: all of them, but for the one document at
-    a source's cut. Documents of which nothing is taken are left out.
+    a source's cut. Documents of which nothing is taken are left out. Rows equal in id and text share
+    the largest plan of theirs. Columns of those two names are replaced.
     """
     plan = mix(docs, id_col=id_col, text_col=text_col, **settings).filter("taken > 0") \
         .groupBy("id", "check").agg(F.max("size").alias("__size"), F.max("taken").alias("__taken")) \
@@ -118,4 +119,4 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words = F.least(F.col("__size"), F.col("__taken") - (F.col("epoch") - 1) * F.col("__size"))
     return docs.join(plan, F.col(id_col).eqNullSafe(F.col("__i")) & (check == F.col("__c"))) \
         .withColumn("epoch", F.explode(rounds)).withColumn("words", words) \
-        .select(*docs.columns, "epoch", "words")
+        .select(*[c for c in docs.columns if c.lower() not in ("epoch", "words")], "epoch", "words")

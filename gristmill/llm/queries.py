@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gristmill.llm import exact_dedup, line_dedup, mixing, simhash
-from gristmill.llm.common import table
+from gristmill.llm import decontaminate, exact_dedup, language, line_dedup, mixing, pii, repeats, secrets, simhash, toxicity
+from gristmill.llm.common import held_out, table
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -93,6 +93,79 @@ SELECT doc_id, size, source_size, target,
   (epochs * size + greatest(0, least(size, budget - epochs * source_size - ahead)))::BIGINT AS taken
 FROM cut"""
 
+def _span_digest(spans: str, kinds: list[str] | None = None):
+    chosen = F.filter(spans, lambda s: s["kind"].isin(kinds)) if kinds else F.col(spans)
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _span_count(spans: str, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = list(secrets.KINDS[:3])
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), *[_span_count("spans", k) for k in base],
+        F.sha2(_span_digest("spans", base), 256).alias("base_sha256"), _span_digest("spans").alias("spans"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUTOFF).cast("int").alias("predicted"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = list(pii.BASE)
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), *[_span_count("spans", k) for k in base],
+        F.sha2(_span_digest("spans", base), 256).alias("base_sha256"), _span_digest("spans").alias("spans"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+WORDS = r"regexp_extract_all({text}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+OP7 = f"""
+WITH d AS (SELECT doc_id, {WORDS.format(text=LOWERED)} AS words FROM documents),
+b AS (SELECT item_id, {WORDS.format(text=LOWERED)} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n, array_to_string(words[i + 1:i + 10], ' ') AS w
+  FROM b, unnest(range(0, greatest(len(words) - 9, 1))) t(i) WHERE len(words) > 0),
+lengths AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, p, n, array_to_string(words[p + 1:p + n], ' ') AS w
+  FROM d, lengths, unnest(range(0, len(words) - n + 1)) t(p)),
+found AS (SELECT doc_id, p, n, item_id FROM places JOIN windows USING (n, w)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p + k) AS n_hit FROM (SELECT DISTINCT doc_id, p, n FROM found), unnest(range(0, n)) t(k)
+  GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "lang_pred", "score")
+
+
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select(
@@ -103,10 +176,17 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_source_mix": op3_source_mix,
+    "op4_secret_scan": op4_secret_scan,
+    "op5_toxicity": op5_toxicity,
+    "op6_personal_data": op6_personal_data,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_language": op8_language,
+    "op9_repeated_bytes": op9_repeated_bytes,
     "op10_simhash_groups": op10_simhash_groups,
 }
 SQL = {
     "op1_line_dedup": OP1,
     "op2_exact_dedup": OP2,
     "op3_source_mix": OP3,
+    "op7_decontaminate": OP7,
 }
