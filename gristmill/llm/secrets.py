@@ -2,7 +2,8 @@
 
 The models give the probability of a character after the one before it, in random strings
 and in ordinary identifiers. They are trained on labelled samples: the values that the fixed patterns
-find are random strings, all other tokens of the same texts are ordinary. The sample is at most
+find are random strings; other tokens that are mostly letters of one case are ordinary (an unlabelled secret
+rarely is). The sample is at most
 about ``train_docs`` documents, chosen by hash; in it, tasks count character pairs, and only sums of
 a table bounded by the alphabet reach the driver. Then every token of 16 or more
 characters in every text gets its log-likelihood ratio; one above the threshold per character and
@@ -42,6 +43,7 @@ SYMBOLS = len(ALPHABET) + 1     # the last one stands before a token
 TOKEN_LEAST = 16
 TRAIN_DOCS = 20_000
 PER_CHARACTER, IN_TOTAL = 0.5, 16.0  # nats
+LEAN = 20.0
 
 CODES = np.full(256, SYMBOLS - 1, np.int64)
 CODES[np.frombuffer(ALPHABET, np.uint8)] = np.arange(len(ALPHABET))
@@ -68,6 +70,8 @@ def runs(inside: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _HEX = np.isin(np.arange(256), np.frombuffer(b"0123456789abcdef", np.uint8))
+_UPPER = np.isin(np.arange(256), np.arange(65, 91))
+_DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 _TOKEN = CODES < SYMBOLS - 1
 
 
@@ -90,6 +94,16 @@ class Scan:
         hit = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
         self.free = hit[self.ends] == hit[self.starts]
 
+    def ordinary(self) -> np.ndarray:
+        """Tokens to learn identifiers from: no base span, at most a quarter digits, mostly one case."""
+        size = self.ends - self.starts
+
+        def share(inside: np.ndarray) -> np.ndarray:
+            sums = np.concatenate([[0], np.cumsum(inside[self.buffer])])
+            return (sums[self.ends] - sums[self.starts]) / size
+        upper = share(_UPPER)
+        return self.free & (share(_DIGIT) <= 0.25) & ((upper <= 0.25) | (upper >= 0.75))
+
     def pairs(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Counts of (character before, character) inside the given runs."""
         table = np.zeros(SYMBOLS * SYMBOLS, np.int64)
@@ -120,7 +134,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
                 scan = Scan(texts[first:last], 4)
                 values = np.array([b[3:] for b in scan.base], np.int64).reshape(-1, 2)
                 sums[0] += scan.pairs(values[:, 0], values[:, 1])
-                sums[1] += scan.pairs(scan.starts[scan.free], scan.ends[scan.free])
+                plain = scan.ordinary()
+                sums[1] += scan.pairs(scan.starts[plain], scan.ends[plain])
         kind, pair = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays(
             [pa.array(kind), pa.array(pair), pa.array(sums[kind, pair])], ["kind", "pair", "n"])
@@ -137,8 +152,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
         .groupBy("kind", "pair").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((2, SYMBOLS * SYMBOLS))
     counts[sums.column("kind").to_numpy(), sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
-    counts = counts.reshape(2, SYMBOLS, SYMBOLS) + 1.0
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    counts = counts.reshape(2, SYMBOLS, SYMBOLS)
+    # A character's probability after another leans on its probability anywhere.
+    alone = counts.sum(axis=1, keepdims=True) + 1.0
+    alone /= alone.sum(axis=2, keepdims=True)
+    logs = np.log((counts + LEAN * alone) / (counts.sum(axis=2, keepdims=True) + LEAN))
     return (logs[0] - logs[1]).astype(np.float32)
 
 
