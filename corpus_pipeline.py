@@ -1,21 +1,56 @@
-"""The corpus pipeline: each stage works on all that the one before it kept."""
+"""The corpus pipeline: language, lines, near copies, benchmark passages, mix.
+
+Each stage works on all that the one before it kept. Its result is written under the shared folder and read
+again, so a lost executor costs one stage at most. All stages but the last return the columns of
+``documents``; the mix adds ``epoch`` and ``words``.
+"""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gristmill.llm import exact_dedup
+from gristmill.llm import decontaminate, language, line_dedup, mixing, simhash
 from gristmill.llm.common import table
 from gristmill.plans.lineage import shared_dir
 
-STAGES = [("exact", lambda spark, docs, sf_dir: exact_dedup.deduplicate(docs))]
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a recognised language."""
+    return language.keep_known(docs)
+
+
+def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop lines that repeat a window of an earlier document, and documents left without lines."""
+    return line_dedup.remove_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each SimHash group."""
+    return simhash.keep_first(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a window of a benchmark item."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take each source's budget of words, in epochs."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES = [
+    ("language_id", known_language), ("line_dedup", unrepeated_lines), ("near_dedup", one_of_near_copies),
+    ("decontaminate", without_benchmark), ("mix", mixed),
+]
+# The language stage learns a model, which SQL can't express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages in order; each result is written and read again as the next input."""
+    """Apply the stages to ``documents``, in order."""
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:

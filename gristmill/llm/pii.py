@@ -67,7 +67,9 @@ def pieces(text: Column, kind: str) -> Column:
     hint = text.contains("@") if kind == "email" else text.rlike(HINTS[kind])
     matches = F.when(hint, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
     gaps = F.when(hint, F.split(text, pattern, -1)).otherwise(none)
-    return F.transform(F.arrays_zip(matches.alias("m"), gaps.alias("g"), F.slice(gaps, 2, 1 << 30).alias("h")), lambda z, i: F.struct(
+    # There is one gap more than matches.
+    aligned = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, F.size(matches)).alias("g"), F.slice(gaps, 2, F.size(matches)).alias("h"))
+    return F.transform(aligned, lambda z, i: F.struct(
         F.lit(kind).alias("kind"), i.alias("i"), F.length(z["g"]).alias("gap"), z["m"].alias("value"),
         F.right(z["g"], F.lit(AROUND)).alias("before"), F.left(z["h"], F.lit(1)).alias("after")))
 
@@ -207,7 +209,14 @@ def find_personal_data(
     scored = marked.withColumn("score", score(weights)) \
         .filter((base & F.col("passed")) | (~base & F.col("passed") & (F.col("score") >= cutoff)))
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("order")
+    # A wider candidate that touches a base span is part of it.
+    by_start = Window.partitionBy("row").orderBy("start")
+    reached = F.max(F.when(F.col("base"), F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
+    ahead = F.min(F.when(F.col("base"), F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
+    touches = F.coalesce(F.col("reached") > F.col("start"), F.lit(False)) | F.coalesce(F.col("ahead") < F.col("end"), F.lit(False))
+    scored = scored.withColumn("base", base).withColumn("reached", reached).withColumn("ahead", ahead) \
+        .filter(F.col("base") | ~touches)
     spans = scored.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
-        order, "start", "end", "kind", base.alias("base"), "score"))).alias("spans"))
+        order, "start", "end", "kind", "base", "score"))).alias("spans"))
     empty = F.array().cast(spans.schema["spans"].dataType)
     return every.join(spans, "row", "left").withColumn("spans", F.coalesce("spans", empty))

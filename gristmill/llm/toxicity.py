@@ -32,7 +32,9 @@ from gristmill.plans.lineage import settle
 ship(__name__)
 
 TRAIN_DOCS = 12_000
-FEATURES = 4_096
+FEATURES = 4_096       # at most
+DOCS_PER_FEATURE = 10  # fewer documents allow fewer features
+LEAST_FEATURES = 64
 LEAST_DOCS = 5
 PREFIXES = (4, 5, 6)
 CUTOFF = 0.7
@@ -120,7 +122,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lab
 
 
 def choose_features(rows: DataFrame, size: int) -> np.ndarray:
-    """The ``size`` features whose presence says most about the label, sorted."""
+    """The features whose presence says most about the label, sorted: ``size`` of them, or fewer for a small sample."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = byte_values(letter_bytes())
         for batch in batches:
@@ -136,7 +138,7 @@ def choose_features(rows: DataFrame, size: int) -> np.ndarray:
     facts = rows.agg(F.count("*").alias("n"), F.sum("label").alias("bad")).first()
     if not facts.n:
         return np.zeros(0, np.uint64)
-    rate = facts.bad / facts.n
+    rate, size = facts.bad / facts.n, min(size, max(LEAST_FEATURES, facts.n // DOCS_PER_FEATURE))
     counts = dealt(rows).mapInArrow(run, "feature long, n long, bad long").groupBy("feature") \
         .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).filter(F.col("n") >= LEAST_DOCS)
     signal = F.pow(F.col("bad") - F.col("n") * rate, 2) / F.col("n")
@@ -171,8 +173,11 @@ def design(rows: DataFrame, features: np.ndarray) -> tuple[np.ndarray, list[np.n
 
 
 def fit(label: np.ndarray, own: list[np.ndarray], other: list[np.ndarray | None], size: int,
-        swap_penalty: float = 5.0, penalty: float = 2e-5, rounds: int = 600, rate: float = 0.1) -> tuple[np.ndarray, float]:
-    """Weights and bias: log loss, ridge, and the squared score change of swapped texts; by Adam."""
+        swap_penalty: float = 5.0, weight: float = 1.0, penalty: float = 2e-5, rounds: int = 600, rate: float = 0.1) -> tuple[np.ndarray, float]:
+    """Weights and bias: log loss, ridge, and the squared score change of swapped texts; by Adam.
+
+    ``weight`` is what a document with label 1 counts against one with label 0.
+    """
     share = float(label.mean()) if len(label) else 0.5
     if not 0 < share < 1:
         share = min(max(share, 1e-3), 1 - 1e-3)
@@ -191,7 +196,7 @@ def fit(label: np.ndarray, own: list[np.ndarray], other: list[np.ndarray | None]
     for step in range(1, rounds + 1):
         z = bias + np.bincount(row, w[col], minlength=n)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        pull = (p - label) / n
+        pull = (p - label) * np.where(label == 1, weight, 1.0) / n
         if len(pairs):
             z2 = bias + np.bincount(swapped_row, w[swapped_col], minlength=len(pairs))
             p2 = 1 / (1 + np.exp(-np.clip(z2, -30, 30)))
@@ -201,7 +206,7 @@ def fit(label: np.ndarray, own: list[np.ndarray], other: list[np.ndarray | None]
         slope = np.bincount(col, pull[row], minlength=size) + penalty * w
         if len(pairs):
             slope += np.bincount(swapped_col, back[swapped_row], minlength=size)
-        g = np.append(slope, (p - label).mean())
+        g = np.append(slope, pull.sum() if not len(pairs) else pull.sum() - gap.sum())
         mean = 0.9 * mean + 0.1 * g
         square = 0.99 * square + 0.01 * g * g
         move = rate * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-9)
