@@ -40,7 +40,7 @@ def label_sql(source: str, result: str = "labelled") -> str:
     CASE WHEN p0 >= t0 AND (p1 < t1 OR p0 >= p1) THEN 0 WHEN p1 >= t1 THEN 1 END AS confident
   FROM {source} c JOIN probs p ON c.id = p.id, {result}_bars),
 {result} AS (
-  SELECT id, coalesce(confident <> label, false) AS is_label_issue, label_score, label AS given_label,
+  SELECT id, coalesce(confident <> label, false) AND predicted_label <> label AS is_label_issue, label_score, label AS given_label,
     predicted_label FROM {result}_judged)"""
 
 
@@ -69,6 +69,23 @@ def prob_table_check(spark, sf):
     return label_model.check_probabilities(rows, label_model.centroid_probabilities(rows))
 
 
+def label_issues_unbalanced(spark, sf):
+    """Classes of about 85 and 15 %, with probabilities by formula: the confident class is often the less probable one."""
+    return _label_rows(issues.label_issues(*_unbalanced(spark, sf)))
+
+
+def label_issues_unbalanced_noise_rate(spark, sf):
+    return _label_rows(issues.label_issues(*_unbalanced(spark, sf), rule="noise_rate"))
+
+
+def _unbalanced(spark, sf):
+    rows = inputs.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id")) \
+        .withColumn("label", (F.col("id") * 7 % 20 < 3).cast("int")) \
+        .withColumn("p1", (F.col("id") * 37 % 101).cast("double") / 101.0 * F.when(F.col("label") == 1, 0.75).otherwise(0.5))
+    rows = settle(rows)
+    return rows.select("id", "label"), rows.select("id", F.array(1.0 - F.col("p1"), F.col("p1")).alias("p"))
+
+
 def relabel(spark, sf):
     rows, found = _found(spark, sf)
     return repair.fix_labels(rows.select("id", "label"), found)
@@ -123,6 +140,8 @@ QUERIES = {
     "prob_table_check": prob_table_check,
     "label_issues": lambda spark, sf: _label_rows(_found(spark, sf)[1]),
     "label_issues_noise_rate": lambda spark, sf: _label_rows(_found(spark, sf, "noise_rate")[1]),
+    "label_issues_unbalanced": label_issues_unbalanced,
+    "label_issues_unbalanced_noise_rate": label_issues_unbalanced_noise_rate,
     "worst_label_issues": worst_label_issues,
     "mildest_label_issues": mildest_label_issues,
     "relabel": relabel,
@@ -134,6 +153,12 @@ QUERIES = {
     "quality_report": quality_report,
 }
 
+_UNBALANCED = f"""noisy AS (
+  SELECT vec_id AS id, CAST(vec_id * 7 % 20 < 3 AS INTEGER) AS label FROM embeddings),
+probs AS (
+  SELECT id, 1.0 - p1 AS p0, p1 FROM (
+    SELECT id, CAST(id * 37 % 101 AS DOUBLE) / CAST(101 AS DOUBLE)
+      * CASE WHEN label = 1 THEN CAST(0.75 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS p1 FROM noisy)), {label_sql('noisy')}"""
 _NOISY = f"{inputs.NOISY}, {probs_sql('noisy')}, {label_sql('noisy')}"
 _LABEL_COLUMNS = "id, is_label_issue, round(label_score, 6) AS label_score, given_label, predicted_label"
 
@@ -151,7 +176,7 @@ dropped AS ({drop}),
   WHERE c.id NOT IN (SELECT id FROM dropped)
     AND c.id NOT IN (SELECT id FROM flagged_out WHERE is_outlier_issue))"""
     if n > 1:
-        for name in ("near_pairs", "near_cutoff", "near_issues", "near_means", "near_outliers", "near",
+        for name in ("near_pairs", "near_cutoff", "near_issues", "near_sets", "near_means", "near_outliers", "near",
                      "probs_rows", "probs_flat", "probs_means", "probs_dist", "probs",
                      "labelled_bars", "labelled_judged", "labelled", "flagged_out", "dropped"):
             round_ = _rename(round_, name, f"{name}_{n}")
@@ -165,6 +190,22 @@ def _rename(sql: str, old: str, new: str) -> str:
 
 _START = f"""{inputs.CORPUS}, {embed_sql('corpus')},
 start AS (SELECT c.id, c.text, c.label, h.embedding FROM corpus c JOIN hashed h ON c.id = h.id)"""
+
+
+def _noise_rate_sql(source: str) -> str:
+    return f"""WITH {source},
+joint AS (
+  SELECT label, count(*) AS n, count(confident) AS sure,
+    count(*) FILTER (WHERE confident <> label) AS off FROM labelled_judged GROUP BY label),
+ranked AS (
+  SELECT id, label, row_number() OVER (PARTITION BY label
+    ORDER BY CASE WHEN label = 0 THEN p0 - p1 ELSE p1 - p0 END, id) AS place FROM labelled_judged)
+SELECT l.id, r.place <= round_even(CAST(j.off * j.n AS DOUBLE) / j.sure, 0)
+    AND l.predicted_label <> l.given_label AS is_label_issue,
+  round(l.label_score, 6) AS label_score, l.given_label, l.predicted_label
+FROM labelled l JOIN ranked r ON l.id = r.id JOIN joint j ON r.label = j.label"""
+
+
 _ROUND = f"{_START}, {_round_sql(1, 'start', 'done')}"
 
 SQL = {
@@ -178,16 +219,9 @@ SELECT count(n.id) AS corpus_rows, count(p.id) AS scored_rows, count(*) FILTER (
     AND min(len([p0, p1])) = 2 AND max(len([p0, p1])) = 2 AS valid
 FROM noisy n FULL JOIN probs p ON n.id = p.id""",
     "label_issues": f"WITH {_NOISY} SELECT {_LABEL_COLUMNS} FROM labelled",
-    "label_issues_noise_rate": f"""WITH {_NOISY},
-joint AS (
-  SELECT label, count(*) AS n, count(confident) AS sure,
-    count(*) FILTER (WHERE confident <> label) AS off FROM labelled_judged GROUP BY label),
-ranked AS (
-  SELECT id, label, row_number() OVER (PARTITION BY label
-    ORDER BY CASE WHEN label = 0 THEN p0 - p1 ELSE p1 - p0 END, id) AS place FROM labelled_judged)
-SELECT l.id, r.place <= round_even(CAST(j.off * j.n AS DOUBLE) / j.sure, 0) AS is_label_issue,
-  round(l.label_score, 6) AS label_score, l.given_label, l.predicted_label
-FROM labelled l JOIN ranked r ON l.id = r.id JOIN joint j ON r.label = j.label""",
+    "label_issues_unbalanced": f"WITH {_UNBALANCED} SELECT {_LABEL_COLUMNS} FROM labelled",
+    "label_issues_noise_rate": _noise_rate_sql(_NOISY),
+    "label_issues_unbalanced_noise_rate": _noise_rate_sql(_UNBALANCED),
     "worst_label_issues": f"""WITH {_NOISY}
 SELECT {_LABEL_COLUMNS} FROM (SELECT * FROM labelled WHERE is_label_issue ORDER BY label_score, id LIMIT 10)""",
     "mildest_label_issues": f"""WITH {_NOISY}

@@ -25,19 +25,33 @@ def near_duplicate_cutoff(neighbours: DataFrame, share: float = NEAR_DUPLICATE_S
 
 
 def near_duplicate_issues(neighbours: DataFrame, cutoff: float) -> DataFrame:
-    """Flags from (id, neighbours). A set holds the row's neighbours within the cutoff,
-    nearest first, as far as its neighbour list goes."""
+    """Flags from (id, neighbours), with the nearest copies of the neighbour list to show.
+
+    ``near_duplicate_sets`` adds the whole set of a row, however many copies it has.
+    """
     nearest = F.try_element_at("neighbours", F.lit(1))["d"]
     close = F.filter("neighbours", lambda x: x["d"] <= cutoff)
     return neighbours.select(
         "id",
         (F.size(close) > 0).alias("is_near_duplicate_issue"),
         F.coalesce(1.0 - F.exp(-nearest), F.lit(1.0)).alias("near_duplicate_score"),
-        F.transform(close, lambda x: x["id"]).alias("near_duplicate_sets"),
+        F.transform(close, lambda x: x["id"]).alias("nearest_duplicates"),
         nearest.alias("distance_to_nearest_neighbor"),
     )
 
 
+def near_duplicate_sets(found: DataFrame, around: DataFrame) -> DataFrame:
+    """Add each row's whole set within the cutoff, by its lowest id and its size, itself included.
+
+    ``around`` counts every row within the radius (``neighbours.within``), so a set isn't cut
+    at the length of a neighbour list, and copies are never listed pair by pair.
+    """
+    counted = around.select("id", F.coalesce("others", F.lit(0)).alias("others"), "first_other")
+    return found.join(counted, "id", "left").select(
+        *found.columns, F.least("id", "first_other").alias("near_duplicate_set"),
+        (F.coalesce("others", F.lit(0)) + 1).alias("near_duplicate_set_size"))
+
+
 def outlier_issues(neighbours: DataFrame, threshold: float = OUTLIER_SCORE) -> DataFrame:
     """exp(-mean distance to the neighbours / its median), flagged below ``threshold``."""
     # Distances have six digits, so whole millionths add up the same in any order.
@@ -76,7 +90,9 @@ def label_issues(
 
     ``confident``: a row is flagged when its confident class differs from its label.
     ``noise_rate``: for every pair of classes, as many rows as the calibrated counts of
-    confident disagreement say, the widest margins first.
+    confident disagreement say, the widest margins first. Under either rule a row whose
+    label is the most probable class is no error: with unequal classes the confident
+    class can be the less probable one.
     """
     scored = corpus.select("id", "label").join(probabilities.select("id", "p"), "id")
     thresholds = _class_thresholds(scored, classes)
@@ -93,7 +109,7 @@ def label_issues(
 
 def _label_columns(flag: Column) -> list[Column]:
     return [
-        F.col("id"), flag.alias("is_label_issue"), F.col("p")[F.col("label")].alias("label_score"),
+        F.col("id"), (flag & (arg_max(F.col("p")) != F.col("label"))).alias("is_label_issue"), F.col("p")[F.col("label")].alias("label_score"),
         F.col("label").alias("given_label"), arg_max(F.col("p")).alias("predicted_label"),
     ]
 
