@@ -4,11 +4,12 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from gristmill.catalog import inputs
+from gristmill.catalog import cleaning, inputs, sampling as sampled
 from gristmill.functions import text as tx
 from gristmill.operators import classifier, label_model, metrics, sampling
 from gristmill.plans import workflow
 from gristmill.plans.lineage import settle, shared_dir
+from gristmill.sources.stages import read_stage
 from gristmill.streaming import scoring
 
 SCORER = classifier.word_scorer(inputs.WORD_WEIGHTS, inputs.INTERCEPT)
@@ -43,6 +44,66 @@ def oof_logreg_probs(spark, sf):
         "id", "fold", F.col("p")[0].alias("p0"), F.col("p")[1].alias("p1"))
 
 
+def oof_logreg_fits(spark, sf):
+    """Per fold: rows learned from, and whether the fit is an optimum of its penalised loss."""
+    rows = settle(sampling.assign_folds(inputs.noisy(spark, sf)))
+    found = label_model.gradient_norms(rows, label_model.fold_models(rows))
+    return found.select("fold", "rows", (F.col("gradient") < 1e-3).alias("optimal"))
+
+
+def oof_logreg_rows(spark, sf):
+    """Per row: its fold, and whether its probabilities are some and sum to one."""
+    rows = settle(sampling.assign_folds(inputs.noisy(spark, sf)))
+    p = label_model.logistic_probabilities(rows)
+    fine = (F.abs(F.col("p")[0] + F.col("p")[1] - 1.0) < 1e-12) & F.col("p")[1].between(0.0, 1.0)
+    return p.select("id", "fold", fine.alias("fine"))
+
+
+def train_test_rows(spark, sf):
+    """The scored test rows: their prediction is what their probability says."""
+    scored = train_select_score(spark, sf)
+    return scored.select("id", "label", (F.col("pred") == (F.col("p_pos") >= 0.5).cast("int")).alias("consistent"))
+
+
+def train_converged(spark, sf):
+    """Per penalty: whether the fit ended before the iteration guard, with finite validation loss."""
+    return _trained(spark, sf)[1].trials.select(
+        "place", "reg_param", ((F.col("iterations") < 200) & (F.col("log_loss") < 10.0)).alias("converged"))
+
+
+def saved_model_scores(spark, sf):
+    """All documents scored by the trained model and by the same model saved and loaded."""
+    path = f"{shared_dir(spark)}/gristmill-model-{uuid.uuid4().hex}"
+    _, trained = _trained(spark, sf)
+    classifier.save_model(trained.model, f"{path}/model")
+    texts = inputs.texts(spark, sf)
+    first = classifier.score_texts(texts, classifier.model_scorer(trained.model)).select("id", F.col("p_pos").alias("first"))
+    again = workflow.run_inference(spark, path, texts).select("id", F.col("p_pos").alias("again"), "pred")
+    return first.join(again, "id").select(
+        "id", (F.col("first") == F.col("again")).alias("same"), (F.col("pred") == (F.col("again") >= 0.5).cast("int")).alias("consistent"))
+
+
+def full_run_stages(spark, sf):
+    """Rows of the stages of a whole run with the fitted prober, and what later stages owe to earlier ones."""
+    base = f"{shared_dir(spark)}/gristmill-run-{uuid.uuid4().hex}"
+    workflow.run_all(inputs.reviews(spark, sf), base, workflow.Settings(keep_near_duplicates="first", reg_params=(0.01, 0.1)))
+    read = lambda name: read_stage(spark, base, name)
+    raw, cleaned, fixed, splits, scored = map(read, ("raw_preview", "clean", "quality_fixed", "splits", "scored"))
+    rows = lambda df: df.count()
+    flips = cleaned.select("id", F.col("label").alias("before")).join(fixed.select("id", "label"), "id").filter("before <> label").count()
+    steps = {r["step"]: r for r in read("quality_steps").collect()}
+    facts = [
+        ("raw_preview", rows(raw), True), ("clean", rows(cleaned), True),
+        ("quality steps join up", 0, steps["outliers"]["rows_out"] == rows(fixed) and steps["near duplicates"]["rows_in"] == rows(cleaned)),
+        ("relabelled rows are logged flips", 0, flips <= steps["labels"]["relabelled"]),
+        ("fixed rows come from clean ones", 0, rows(fixed.join(cleaned, "id", "left_anti")) == 0),
+        ("splits hold every fixed row once", 0, rows(splits) == rows(fixed) == splits.select("id").distinct().count()),
+        ("scored rows are the test rows", 0, rows(scored.join(splits.filter("split = 'test'"), "id")) == rows(scored)
+         == rows(splits.filter("split = 'test'"))),
+    ]
+    return spark.createDataFrame(facts, "stage string, rows long, holds boolean")
+
+
 def _trained(spark, sf):
     splits = settle(sampling.split_corpus(inputs.corpus(spark, sf, per_token=True)))
     trained = classifier.train_classifier(
@@ -85,6 +146,12 @@ QUERIES = {
     "batch_score": lambda spark, sf: _result(classifier.score_texts(inputs.texts(spark, sf), SCORER)),
     "score_by_table": score_by_table,
     "oof_logreg_probs": oof_logreg_probs,
+    "oof_logreg_fits": oof_logreg_fits,
+    "oof_logreg_rows": oof_logreg_rows,
+    "train_test_rows": train_test_rows,
+    "train_converged": train_converged,
+    "saved_model_scores": saved_model_scores,
+    "full_run_stages": full_run_stages,
     "train_select_score": train_select_score,
     "train_trials": train_trials,
     "train_evaluate": train_evaluate,
@@ -99,6 +166,21 @@ _SCORES = """SELECT id, round(p_pos, 6) AS p_pos, CAST(p_pos >= 0.5 AS INTEGER)
   CASE WHEN p_pos >= 0.5 THEN 'positive' ELSE 'negative' END AS label_name FROM word_scored"""
 
 SQL = {
+    "oof_logreg_fits": f"""WITH {inputs.NOISY},
+folds AS (SELECT CAST(ntile(5) OVER (PARTITION BY label ORDER BY id) AS INTEGER) AS fold FROM noisy)
+SELECT f.fold, count(*) AS rows, true AS optimal FROM (SELECT DISTINCT fold FROM folds) f
+JOIN folds o ON o.fold <> f.fold GROUP BY f.fold""",
+    "oof_logreg_rows": f"""WITH {inputs.NOISY}
+SELECT id, CAST(ntile(5) OVER (PARTITION BY label ORDER BY id) AS INTEGER) AS fold, true AS fine FROM noisy""",
+    "train_test_rows": f"SELECT id, label, true AS consistent FROM ({sampled.SQL['split_corpus']}) WHERE split = 'test'",
+    "train_converged": """SELECT * FROM (VALUES (0, CAST(0.001 AS DOUBLE), true), (1, CAST(0.01 AS DOUBLE), true),
+  (2, CAST(0.1 AS DOUBLE), true)) t(place, reg_param, converged)""",
+    "saved_model_scores": "SELECT doc_id AS id, true AS same, true AS consistent FROM documents",
+    "full_run_stages": f"""WITH {inputs.REVIEWS}, cleaned AS ({cleaning.SQL['clean_reviews']})
+SELECT 'raw_preview' AS stage, count(*) AS rows, true AS holds FROM reviews
+UNION ALL SELECT 'clean', count(*), true FROM cleaned
+UNION ALL SELECT unnest(['quality steps join up', 'relabelled rows are logged flips', 'fixed rows come from clean ones',
+  'splits hold every fixed row once', 'scored rows are the test rows']), 0, true""",
     "tokenize": f"""SELECT id, CAST(len(tokens) AS INTEGER) AS tokens, md5(array_to_string(tokens, ' ')) AS digest
 FROM (SELECT doc_id AS id, {inputs.TOKEN_LIST} AS tokens FROM documents)""",
     "tokenize_cut": f"""SELECT id, CAST(len(tokens) AS INTEGER) AS tokens, md5(array_to_string(tokens, ' ')) AS digest

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from gristmill.functions import text as tx
 from gristmill.functions.scores import predicted, sigmoid
 from gristmill.operators import metrics
-from gristmill.plans.lineage import small_side
+from gristmill.plans.lineage import settle, small_side
 
 Scorer = Callable[[DataFrame], DataFrame]
 MAP_WORDS = 200
@@ -32,12 +32,20 @@ def tokenize(corpus: DataFrame, max_tokens: int | None = None) -> DataFrame:
     return corpus.withColumn("tokens", tokens if max_tokens is None else tx.cut(tokens, max_tokens))
 
 
-def feature_stages(vocabulary: bool = True, size: int = 1 << 18, min_documents: float = 2.0) -> list:
-    """Counting over a vocabulary of bounded size gives every token its own weight, which
-    attributions need; tokens of a single text are left out. Hashing needs no pass to fit."""
+HASHED_SIZE = 1 << 18
+ALL_TOKENS = (1 << 31) - 1
+
+
+def feature_stages(vocabulary: bool = True, size: int | None = None, min_documents: float = 1.0) -> list:
+    """Counting over the vocabulary gives every token its own weight, which attributions need.
+
+    By default no token is left out, and the driver holds the whole vocabulary; with ``size`` only the most
+    frequent tokens keep a weight. Hashing into ``size`` features needs no pass to fit and no
+    driver memory, and suits vocabularies that grow with the corpus.
+    """
     counts = (
-        CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=size, minDF=min_documents)
-        if vocabulary else HashingTF(inputCol="tokens", outputCol="counts", numFeatures=size))
+        CountVectorizer(inputCol="tokens", outputCol="counts", vocabSize=size or ALL_TOKENS, minDF=min_documents)
+        if vocabulary else HashingTF(inputCol="tokens", outputCol="counts", numFeatures=size or HASHED_SIZE))
     return [
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern=tx.TOKEN_BREAK, toLowercase=True),
         counts,
@@ -48,32 +56,38 @@ def feature_stages(vocabulary: bool = True, size: int = 1 << 18, min_documents:
 @dataclass(frozen=True)
 class Trained:
     model: PipelineModel
-    trials: DataFrame    # grid position, regularisation, MCC and log loss on the validation rows
+    trials: DataFrame    # grid position, regularisation, MCC and log loss on the validation rows, iterations
 
 
 def train_classifier(
     train: DataFrame,
     valid: DataFrame,
     reg_params: tuple[float, ...] = (0.001, 0.01, 0.1),
-    max_iter: int = 25,
+    max_iter: int = 200,
     select_by: str = "log_loss",
     parallel_fits: int = 4,
     **features,
 ) -> Trained:
     """Fit one model per penalty and keep the best on the validation rows.
 
-    ``select_by`` is ``log_loss`` or ``MCC``; ties go to the earlier penalty. Features are
-    fitted once, both splits are vectorised once, and the fits run side by side.
+    ``select_by`` is ``log_loss`` or ``MCC``; ties go to the earlier penalty. Fits end at
+    MLlib's tolerance; ``max_iter`` only guards against one that doesn't. Texts are tokenised
+    once, features are fitted once, and the fits run side by side.
     """
     if select_by not in ("log_loss", "MCC"):
         raise ValueError(f"cannot select by '{select_by}'")
-    fitted = Pipeline(stages=feature_stages(**features)).fit(train)
+    tokenizer, *learned = feature_stages(**features)
+
+    def tokenised(split):
+        return settle(tokenizer.transform(split).select("id", F.col("label").cast("double").alias("label"), "tokens"))
+
+    train_tokens, valid_tokens = tokenised(train), tokenised(valid)
+    fitted = Pipeline(stages=learned).fit(train_tokens)
 
     def vectorised(split):
-        return fitted.transform(split).select("id", F.col("label").cast("double").alias("label"), "features") \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        return fitted.transform(split).select("id", "label", "features").persist(StorageLevel.MEMORY_AND_DISK)
 
-    train_rows, valid_rows = vectorised(train), vectorised(valid)
+    train_rows, valid_rows = vectorised(train_tokens), vectorised(valid_tokens)
 
     def fit(trial):
         place, reg = trial
@@ -83,16 +97,18 @@ def train_classifier(
             F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("p_pos"))
         facts = metrics.confusion_metrics(scored).select("MCC").withColumn(
             "log_loss", metrics.log_loss(scored).scalar()).first()
-        return model, (place, float(reg), facts["MCC"], facts["log_loss"])
-
-    with ThreadPool(min(parallel_fits, len(reg_params))) as pool:
-        models, trials = zip(*pool.map(fit, enumerate(reg_params)))
-    train_rows.unpersist()
-    valid_rows.unpersist()
+        return model, (place, float(reg), facts["MCC"], facts["log_loss"], model.summary.totalIterations)
+
+    try:
+        with ThreadPool(min(parallel_fits, len(reg_params))) as pool:
+            models, trials = zip(*pool.map(fit, enumerate(reg_params)))
+    finally:
+        train_rows.unpersist()
+        valid_rows.unpersist()
     best = min(trials, key=lambda t: (t[3] if select_by == "log_loss" else -t[2], t[0]))
     table = train.sparkSession.createDataFrame(
-        list(trials), "place int, reg_param double, MCC double, log_loss double")
-    return Trained(PipelineModel(stages=[*fitted.stages, models[best[0]]]), table)
+        list(trials), "place int, reg_param double, MCC double, log_loss double, iterations int")
+    return Trained(PipelineModel(stages=[tokenizer, *fitted.stages, models[best[0]]]), table)
 
 
 def model_scorer(model: PipelineModel) -> Scorer:

@@ -16,13 +16,13 @@ from pyspark.sql import DataFrame, functions as F
 from gristmill.functions.scores import dot, sigmoid, squared_distance
 
 
-def logistic_probabilities(
-    df: DataFrame, regularization_c: float = 0.1, max_iter: int = 100, parallel_fits: int = 4
+def fold_models(
+    df: DataFrame, regularization_c: float = 0.1, max_iter: int = 100, parallel_fits: int = 4, tol: float = 1e-6,
 ) -> DataFrame:
-    """Logistic regression, one fit per fold on the other folds.
+    """fold, weights, bias, penalty: a logistic regression per fold, fitted on the other folds.
 
     A penalty of 1 / (C n) on the mean loss equals the usual C on the summed loss. The
-    fits run side by side; all rows are then scored in one pass, each by its fold's model.
+    fits run side by side.
     """
     rows = df.select("id", "fold", F.col("label").cast("double").alias("label"),
                      array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
@@ -31,17 +31,41 @@ def logistic_probabilities(
     total = sum(sizes.values())
 
     def fit(fold: int):
+        penalty = 1.0 / (regularization_c * (total - sizes[fold]))
         model = LogisticRegression(
-            regParam=1.0 / (regularization_c * (total - sizes[fold])), elasticNetParam=0.0,
-            standardization=False, family="binomial", maxIter=max_iter,
+            regParam=penalty, elasticNetParam=0.0, standardization=False, family="binomial", maxIter=max_iter, tol=tol,
         ).fit(rows.filter(F.col("fold") != fold))
-        return fold, [float(w) for w in model.coefficients.toArray()], float(model.intercept)
+        return fold, [float(w) for w in model.coefficients.toArray()], float(model.intercept), penalty
 
-    with ThreadPool(min(parallel_fits, len(sizes))) as pool:
-        models = pool.map(fit, sorted(sizes))
-    rows.unpersist()
+    try:
+        with ThreadPool(min(parallel_fits, len(sizes))) as pool:
+            models = pool.map(fit, sorted(sizes))
+    finally:
+        rows.unpersist()
     # One row per fold.
-    weights = df.sparkSession.createDataFrame(models, "fold int, weights array<double>, bias double")
+    return df.sparkSession.createDataFrame(models, "fold int, weights array<double>, bias double, penalty double")
+
+
+def gradient_norms(df: DataFrame, models: DataFrame) -> DataFrame:
+    """fold, rows (of the other folds) and the length of the penalised mean loss's gradient at the fitted weights."""
+    x = F.col("embedding").cast("array<double>")
+    trained = df.select("label", x.alias("x"), F.col("fold").alias("own")) \
+        .join(F.broadcast(models), F.col("own") != F.col("fold"))
+    miss = sigmoid(dot(F.col("x"), F.col("weights")) + F.col("bias")) - F.col("label")
+    pulls = trained.select("fold", "weights", "penalty", miss.alias("miss"), F.transform("x", lambda v: v * miss).alias("pull"))
+    sums = pulls.groupBy("fold").agg(
+        F.count("*").alias("rows"), F.avg("miss").alias("bias_slope"), F.first("weights").alias("weights"),
+        F.first("penalty").alias("penalty"), vector_to_array(Summarizer.mean(array_to_vector("pull"))).alias("slope"))
+    steps = F.zip_with("slope", "weights", lambda g, w: g + F.col("penalty") * w)
+    squares = F.aggregate(steps, F.lit(0.0), lambda total, v: total + v * v) + F.col("bias_slope") * F.col("bias_slope")
+    return sums.select("fold", "rows", F.sqrt(squares).alias("gradient"))
+
+
+def logistic_probabilities(
+    df: DataFrame, regularization_c: float = 0.1, max_iter: int = 100, parallel_fits: int = 4
+) -> DataFrame:
+    """All rows scored in one pass, each by the logistic regression that hasn't seen its fold."""
+    weights = fold_models(df, regularization_c, max_iter, parallel_fits)
     p = sigmoid(dot(F.col("embedding"), F.col("weights")) + F.col("bias"))
     return df.join(F.broadcast(weights), "fold").select("id", "fold", p.alias("p1")) \
         .select("id", "fold", F.array(1.0 - F.col("p1"), F.col("p1")).alias("p"))
