@@ -2,11 +2,11 @@
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from gristmill.catalog import cleaning, explaining, inputs, sampling as sampled, scanning, scoring
+from gristmill.catalog import cleaning, explaining, inputs, quality, sampling as sampled, scanning, scoring
 from gristmill.catalog.modelling import SCORER
-from gristmill.operators import attribution, classifier, metrics, sampling, scan
+from gristmill.operators import attribution, classifier, clean, metrics, sampling, scan
 from gristmill.plans.lineage import shared_dir
 from gristmill.sources import reviews as source, sinks
 from gristmill.sources.stages import read_stage, write_previews, write_stage
@@ -17,8 +17,9 @@ def _folder(spark):
 
 
 def load_formats(spark, sf):
-    """The review table written in four formats and loaded from each."""
-    base, wide = _folder(spark), inputs.reviews(spark, sf)
+    """The review table, with its columns in another order and one more, in four formats."""
+    base = _folder(spark)
+    wide = inputs.reviews(spark, sf).select("positive", F.lit("x").alias("hotel"), "id", "negative")
     loaded = None
     for fmt, options in (("parquet", {}), ("orc", {}), ("json", {}),
                          ("csv", {"header": True, "multiLine": True, "escape": '"', "nullValue": "\\N"})):
@@ -32,6 +33,37 @@ def load_formats(spark, sf):
     return loaded
 
 
+def load_without_id(spark, sf):
+    """Reviews without an id column, loaded, cleaned and counted."""
+    path = f"{_folder(spark)}/reviews"
+    inputs.reviews(spark, sf).select("negative", "positive").write.parquet(path)
+    loaded = source.load_reviews(spark, path, negative_col="negative", positive_col="positive")
+    cleaned = clean.clean_reviews(loaded)
+
+    def facts(df, part, chars):
+        return df.agg(F.lit(part).alias("part"), F.count("*").alias("rows"), F.count_distinct("id").alias("ids"),
+                      F.count_if(F.col("id").isNull() | (F.col("id") < 0)).alias("bad_ids"), F.sum(chars).alias("chars"))
+
+    both = F.coalesce(F.length("negative"), F.lit(0)) + F.coalesce(F.length("positive"), F.lit(0))
+    return facts(loaded, "loaded", both) \
+        .unionByName(facts(cleaned.filter("label = 0"), "negative", F.length("text"))) \
+        .unionByName(facts(cleaned.filter("label = 1"), "positive", F.length("text")))
+
+
+def quality_log_text(spark, sf):
+    """The issue log written as text files and read back: every line with its number over all files."""
+    base = _folder(spark)
+    result = quality._pass(spark, sf)
+    sinks.write_issue_log(result.log, result.steps, f"{base}/log")
+    files = spark.read.text(f"{base}/log", wholetext=True).select(F.input_file_name().alias("file"), F.split("value", "\n").alias("lines"))
+    # Every line ends with a break. One row per file.
+    ended = files.withColumn("lines", F.slice("lines", F.lit(1), F.size("lines") - 1))
+    ahead = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ended.withColumn("ahead", F.coalesce(F.sum(F.size("lines")).over(ahead), F.lit(0)))
+    return placed.select("ahead", F.posexplode("lines").alias("pos", "value")).select(
+        (F.col("ahead") + F.col("pos")).cast("long").alias("line"), "value")
+
+
 def previews(spark, sf):
     base = _folder(spark)
     write_previews(inputs.reviews(spark, sf), base)
@@ -84,10 +116,12 @@ def findings_export(spark, sf):
 
 QUERIES = {
     "load_formats": load_formats,
+    "load_without_id": load_without_id,
     "previews": previews,
     "stored_splits": stored_splits,
     "stored_tokens": stored_tokens,
     "metrics_json": metrics_json,
+    "quality_log_text": quality_log_text,
     "attribution_export": attribution_export,
     "findings_export": findings_export,
 }
@@ -99,12 +133,40 @@ SQL = {
 SELECT format, count(*) AS rows, count(negative) AS negatives, count(positive) AS positives,
   {_STRIP.format('negative')} AS negative_chars, {_STRIP.format('positive')} AS positive_chars
 FROM reviews, (VALUES ('parquet'), ('orc'), ('json'), ('csv')) f(format) GROUP BY format""",
+    "load_without_id": f"""WITH {inputs.REVIEWS},
+cleaned AS ({cleaning.SQL['clean_reviews']})
+SELECT 'loaded' AS part, count(*) AS rows, count(*) AS ids, CAST(0 AS BIGINT) AS bad_ids,
+  CAST(sum(coalesce(length(trim(negative, {cleaning.SPACES})), 0) + coalesce(length(trim(positive, {cleaning.SPACES})), 0)) AS BIGINT)
+    AS chars FROM reviews
+UNION ALL SELECT 'negative', count(*), count(*), 0, CAST(sum(length(text)) AS BIGINT) FROM cleaned WHERE label = 0
+UNION ALL SELECT 'positive', count(*), count(*), 0, CAST(sum(length(text)) AS BIGINT) FROM cleaned WHERE label = 1""",
     "previews": f"""WITH {inputs.REVIEWS}
 SELECT id, 'neg' AS part, coalesce(negative, '<none>') AS text FROM reviews
 UNION ALL SELECT id, 'pos', coalesce(positive, '<none>') FROM reviews""",
     "stored_splits": f"SELECT id, label FROM ({sampled.SQL['split_corpus']}) WHERE split = 'test'",
     "stored_tokens": f"""SELECT id, CAST(len(tokens) AS INTEGER) AS tokens, md5(array_to_string(tokens, ' ')) AS digest
 FROM (SELECT doc_id AS id, {inputs.TOKEN_LIST} AS tokens FROM documents)""",
+    "quality_log_text": f"""WITH {quality._ROUND},
+logged AS (
+  SELECT 'near_duplicate' AS kind, 1 AS step, id, near_duplicate_score AS score, 0 AS given, 0 AS predicted
+  FROM near_issues WHERE is_near_duplicate_issue
+  UNION ALL SELECT 'outlier', 3, id, outlier_score, 0, 0 FROM flagged_out WHERE is_outlier_issue
+  UNION ALL SELECT * FROM (SELECT 'label', 2, id, label_score, given_label, predicted_label
+    FROM labelled WHERE is_label_issue ORDER BY label_score, id LIMIT 10)),
+counts AS ({quality.SQL['quality_steps']}),
+blocks AS (
+  SELECT g.step, 1 AS part, score, g.id, CASE WHEN kind = 'label'
+    THEN 'y_true ' || given || ', y_pred ' || predicted || ', text: ' || text
+    ELSE concat_ws(chr(10), '', '### ' || kind || ' (score ' || printf('%.4f', score) || ')',
+      'label: ' || CASE WHEN label = 1 THEN 'POSITIVE' ELSE 'NEGATIVE' END || ' (' || label || ')', 'text: ' || text) END AS body
+  FROM logged g JOIN start s ON g.id = s.id
+  UNION ALL
+  SELECT CASE step WHEN 'near duplicates' THEN 1 WHEN 'labels' THEN 2 ELSE 3 END, 0, 0.0, 0,
+    CASE WHEN step = 'near duplicates' THEN '## Iteration 1' || chr(10) ELSE '' END || chr(10)
+      || printf('%s: %d rows -> %d rows, %d relabelled', step, rows_in, rows_out, relabelled)
+  FROM counts),
+lines AS (SELECT string_split(string_agg(body, chr(10) ORDER BY step, part, score, id), chr(10)) AS all_lines FROM blocks)
+SELECT CAST(i AS BIGINT) AS line, all_lines[i + 1] AS value FROM lines, unnest(range(0, len(all_lines))) t(i)""",
     "metrics_json": scoring.SQL["evaluate_scored"],
     "attribution_export": explaining.SQL["attribution_samples"],
     "findings_export": scanning.SQL["scan_findings"],
