@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from gristmill.plans.lineage import spread
 
 
+TURNS = 1 << 24  # more than any conversation has
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -67,21 +70,21 @@ reviews AS (
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All embeddings, plus exact copies of some and slightly moved copies of others."""
-    base = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    exact = base.filter(F.col("id") % 10 == 0).select((F.col("id") + 1000000).alias("id"), "embedding")
-    moved = base.filter(F.col("id") % 10 == 1).select(
-        (F.col("id") + 2000000).alias("id"),
+    base = table(spark, sf_dir, "embeddings").select((F.col("vec_id") * 3).alias("id"), "embedding")
+    exact = base.filter(F.col("id") % 30 == 0).select((F.col("id") + 1).alias("id"), "embedding")
+    moved = base.filter(F.col("id") % 30 == 3).select(
+        (F.col("id") + 2).alias("id"),
         F.transform("embedding", lambda x, i: F.when(i == 0, x + F.lit(0.3).cast("float")).otherwise(x)
                     .cast("float")).alias("embedding"))
     return base.unionByName(exact).unionByName(moved)
 
 
 VECTORS = """vectors AS (
-  SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings
+  SELECT 3 * vec_id AS id, CAST(embedding AS DOUBLE[]) AS embedding FROM embeddings
   UNION ALL
-  SELECT vec_id + 1000000, CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id % 10 = 0
+  SELECT 3 * vec_id + 1, CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id % 10 = 0
   UNION ALL
-  SELECT vec_id + 2000000, CAST(list_concat(
+  SELECT 3 * vec_id + 2, CAST(list_concat(
       [CAST(embedding[1] + CAST(0.3 AS FLOAT) AS FLOAT)], embedding[2:]) AS DOUBLE[])
   FROM embeddings WHERE vec_id % 10 = 1)"""
 
@@ -115,11 +118,11 @@ scored AS (
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as texts: id, role, text."""
     return table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "role", "text")
+        (F.col("conv_id") * TURNS + F.col("turn")).alias("id"), "role", "text")
 
 
-CONVERSATIONS = """turns AS (
-  SELECT conv_id * 1000 + turn AS id, role, text FROM conversations)"""
+CONVERSATIONS = f"""turns AS (
+  SELECT conv_id * {TURNS} + turn AS id, role, text FROM conversations)"""
 
 # Token weights of a linear scorer. Multiples of 1/8 add up exactly in any order.
 WORD_WEIGHTS = {

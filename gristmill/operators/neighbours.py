@@ -156,6 +156,11 @@ def build_index(df: DataFrame, cell_rows: int = 2048, block_rows: int = 4096, se
     return VectorIndex(members, groups, pivots, near, far, blocks)
 
 
+def _by_cell(groups: DataFrame) -> DataFrame:
+    """Neighbouring groups together, so that a slice of rows has few blocks to visit."""
+    return groups.repartitionByRange("cell", "block").sortWithinPartitions("cell", "block")
+
+
 def _packed_blocks(index: VectorIndex) -> DataFrame:
     """One row per block: its groups and their vectors as two arrays of bounded length."""
     rows = index.groups.groupBy("cell", "block").agg(
@@ -186,7 +191,6 @@ def _visits(index: VectorIndex, include_home: bool):
     pivots, near, far, blocks = index.pivots, index.near, index.far, index.blocks
 
     def body(batches):
-        between = _chords(pivots, pivots)
         for batch in _slices(batches):
             grp = batch.column("grp").to_numpy()
             vec = _matrix(batch.column("vec"))
@@ -194,7 +198,8 @@ def _visits(index: VectorIndex, include_home: bool):
             reach = batch.column("reach").to_numpy(zero_copy_only=False)
             chord = _chords(vec, pivots)
             own = chord[np.arange(len(grp)), home]
-            gap = between[home]
+            cells, place = np.unique(home, return_inverse=True)
+            gap = _chords(pivots[cells], pivots)[place]
             with np.errstate(divide="ignore", invalid="ignore"):
                 plane = np.where(gap > 0, (chord**2 - own[:, None]**2) / (2.0 * gap), 0.0)
             least = np.maximum.reduce([np.zeros_like(chord), chord - far, near - chord, plane])
@@ -249,8 +254,8 @@ def _candidates(index: VectorIndex, k: int) -> DataFrame:
     # With fewer than k neighbours at home there is no bound yet: reach is the full range.
     reach = near_home.groupBy("grp").agg(
         F.when(F.count("*") >= k, F.max("d")).otherwise(F.lit(2.0)).alias("reach"))
-    visits = index.groups.join(reach, "grp", "left").select(
-        "grp", "vec", "cell", "block", F.coalesce("reach", F.lit(2.0)).alias("reach")
+    visits = _by_cell(index.groups.join(reach, "grp", "left").select(
+        "grp", "vec", "cell", "block", F.coalesce("reach", F.lit(2.0)).alias("reach"))
     ).mapInArrow(_visits(index, include_home=False), _VISIT_SCHEMA)
 
     def solve_visits(batches):
@@ -282,8 +287,10 @@ def knn(index: VectorIndex, k: int = 10) -> DataFrame:
     heads = index.members.withColumn("rank", lowest).filter(F.col("rank") <= k + 1) \
         .groupBy("grp").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     own = index.groups.select("grp", F.col("grp").alias("other"), F.lit(0.0).alias("d"))
-    wanted = own.unionByName(_candidates(index, k))
-    members_of = wanted.join(heads.withColumnRenamed("grp", "other"), "other")
+    wanted = settle(own.unionByName(_candidates(index, k)))
+    # A vector in the middle of many others is wanted by all of them.
+    wanted_by = wanted.groupBy("other").agg(F.count("*").alias("n"))
+    members_of = hot_join(wanted, heads.withColumnRenamed("grp", "other"), ["other"], wanted_by, deal_by="grp")
     # k + 1 groups at most, each with k + 1 ids at most.
     lists = members_of.select("grp", "d", F.explode("ids").alias("id")).groupBy("grp").agg(
         F.slice(F.sort_array(F.collect_list(F.struct("d", "id"))), 1, k + 1).alias("near"))
@@ -299,7 +306,7 @@ def within(index: VectorIndex, radius: float) -> DataFrame:
     Counts and minima are folded inside each task, so the number of close pairs does not
     matter.
     """
-    visits = index.groups.select("grp", "vec", "cell", "block", F.lit(float(radius)).alias("reach")) \
+    visits = _by_cell(index.groups.select("grp", "vec", "cell", "block", F.lit(float(radius)).alias("reach"))) \
         .mapInArrow(_visits(index, include_home=True), _VISIT_SCHEMA)
 
     def fold(batches):

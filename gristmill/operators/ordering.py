@@ -12,8 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = "bucket"
-# A table measured to have no more rows than this is one bucket: a single task sorts it at once.
-ONE_TASK_ROWS = 100_000
+# Rows a bucket should have; the number of buckets grows with the table.
+BUCKET_ROWS = 50_000
 
 
 def hash_key(seed: int, id_col: str = "id") -> Column:
@@ -21,22 +21,26 @@ def hash_key(seed: int, id_col: str = "id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def hash_bucket(key: Column) -> Column:
-    """4,096 even buckets in key order: the first three hex digits of a digest."""
-    return F.substring(key, 1, 3)
+def hash_bucket(key: Column, rows: int) -> Column:
+    """Even buckets in key order, of about ``BUCKET_ROWS``: the first hex digits of a digest."""
+    digits = 1
+    while rows > BUCKET_ROWS * 16 ** digits and digits < 8:
+        digits += 1
+    return F.substring(key, 1, digits)
 
 
-def with_quantile_bucket(df: DataFrame, column: str, buckets: int = 1024) -> DataFrame:
+def with_quantile_bucket(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
     """Add ``bucket``: about equal row counts, ascending with ``column``.
 
-    Rows equal in ``column`` share a bucket. The splits, at most ``buckets`` numbers,
-    come from a quantile sketch; only balance depends on the sketch, never a result.
+    Rows equal in ``column`` share a bucket. There is a bucket for each ``BUCKET_ROWS`` rows unless a number
+    is given. The splits come from a quantile sketch; only balance depends on the
+    sketch, never a result.
     """
-    if df.count() <= ONE_TASK_ROWS:
-        return df.withColumn(BUCKET, F.lit(0.0))
+    if buckets is None:
+        buckets = max(1, -(-df.count() // BUCKET_ROWS))
     shares = [i / buckets for i in range(1, buckets)]
     narrow = df.select(F.col(column).cast("double").alias(column))
-    found = narrow.approxQuantile(column, shares, 0.25 / buckets)
+    found = narrow.approxQuantile(column, shares, 0.25 / buckets) if shares else []
     inner = sorted(set(found))
     splits = [float("-inf"), *inner, float("inf")]
     if len(splits) < 3:
@@ -73,7 +77,7 @@ def with_running_count(per_value: DataFrame, column: str, measure: str) -> DataF
     """Add ``upto``: the sum of ``measure`` over all values up to and including a row's own.
 
     ``per_value`` has one row per distinct value and its ``bucket``. The window stays inside
-    a bucket; buckets, about a thousand, are summed apart and joined back as offsets.
+    a bucket; buckets are summed apart and joined back as offsets.
     """
     offsets = per_value.groupBy(BUCKET).agg(F.sum(measure).alias("own")).select(
         BUCKET,
@@ -86,8 +90,6 @@ def with_running_count(per_value: DataFrame, column: str, measure: str) -> DataF
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, ``median``. Equal values are folded before they are ranked."""
     values = df.select(column).filter(F.col(column).isNotNull())
-    if values.count() <= ONE_TASK_ROWS:
-        return values.agg(F.percentile(column, F.lit(0.5)).alias("median"))
     per_value = with_quantile_bucket(values, column) \
         .groupBy(BUCKET, column).agg(F.count("*").alias("n"))
     ranked = with_running_count(per_value, column, "n")

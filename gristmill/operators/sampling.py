@@ -13,6 +13,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gristmill.operators import ordering as od
+from gristmill.plans.lineage import settle
 
 MAX_CLASSES = 10_000
 STRATUM = "__stratum"
@@ -25,6 +26,9 @@ def class_sizes(df: DataFrame, label: str | None) -> dict:
     counts = df.groupBy(label).count().limit(MAX_CLASSES + 1).collect()
     if len(counts) > MAX_CLASSES:
         raise ValueError(f"'{label}' has more than {MAX_CLASSES} values; it is not a class column")
+    missing = sum(row["count"] for row in counts if row[label] is None)
+    if missing:
+        raise ValueError(f"'{label}' is missing in {missing} rows; drop or fill them first")
     return {row[label]: row["count"] for row in sorted(counts, key=lambda r: r[label])}
 
 
@@ -47,6 +51,8 @@ def split_sizes(n: int, train_frac: float, valid_frac: float, test_frac: float)
 
     Plain double arithmetic on purpose, as the rounding decides the sizes.
     """
+    if not all(0.0 <= f <= 1.0 for f in (train_frac, valid_frac, test_frac)):
+        raise ValueError("train, valid and test fractions must lie between 0 and 1")
     if abs(train_frac + valid_frac + test_frac - 1.0) > 1e-9:
         raise ValueError("train, valid and test fractions must sum to 1")
     if train_frac + valid_frac <= 0:
@@ -57,23 +63,24 @@ def split_sizes(n: int, train_frac: float, valid_frac: float, test_frac: float)
     return rest - valid, valid, test
 
 
-def _segment(df: DataFrame, ends: dict, label: str | None, seed: int | None, name: str) -> DataFrame:
+def _segment(df: DataFrame, ends: dict, label: str | None, seed: int | None, name: str, rows_in: int) -> DataFrame:
     """Add ``name``: which run of consecutive ranks a row falls into, from 0.
 
     ``ends`` holds, per class, the last rank of each run but the final one. Rows are in
-    hash order under ``seed``, or in id order where it is None.
+    hash order under ``seed``, or in id order where it is None. The keys of the ``rows_in``
+    rows are written once and counted, ranked and cut from there.
     """
     spark = df.sparkSession
     stratum = F.col(label) if label else F.lit(0)
     keyed = df.withColumn(STRATUM, stratum)
     if seed is not None:
         order = ["__hash", "id"]
-        rows = keyed.select(STRATUM, "id", od.hash_key(seed).alias("__hash")) \
-            .withColumn(od.BUCKET, od.hash_bucket(F.col("__hash")))
+        rows = settle(keyed.select(STRATUM, "id", od.hash_key(seed).alias("__hash"))) \
+            .withColumn(od.BUCKET, od.hash_bucket(F.col("__hash"), rows_in))
         own_key = F.struct(od.hash_key(seed).alias("__hash"), F.col("id"))
     else:
         order = ["id"]
-        rows = od.with_quantile_bucket(keyed.select(STRATUM, "id"), "id")
+        rows = od.with_quantile_bucket(settle(keyed.select(STRATUM, "id")), "id")
         own_key = F.struct(F.col("id"))
 
     type_of = dict(keyed.dtypes)[STRATUM]
@@ -109,7 +116,7 @@ def stratified_sample(df: DataFrame, n: int, seed: int = 0, label: str | None =
     if n > sum(sizes.values()):
         raise ValueError(f"cannot draw {n} rows from {sum(sizes.values())} without replacement")
     quota = largest_remainder(n, sizes)
-    marked = _segment(df, {c: [q] for c, q in quota.items()}, label, seed, "__run")
+    marked = _segment(df, {c: [q] for c, q in quota.items()}, label, seed, "__run", sum(sizes.values()))
     return marked.filter("__run = 0").drop("__run")
 
 
@@ -118,7 +125,7 @@ def _split(df: DataFrame, sizes: dict, test: int, valid: int, label: str | None,
     rest = {c: n - test_of[c] for c, n in sizes.items()}
     valid_of = largest_remainder(valid, rest)
     ends = {c: list(accumulate([test_of[c], valid_of[c]])) for c in sizes}
-    marked = _segment(df, ends, label, seed, "__run")
+    marked = _segment(df, ends, label, seed, "__run", sum(sizes.values()))
     names = F.when(F.col("__run") == 0, "test").when(F.col("__run") == 1, "valid").otherwise("train")
     return marked.withColumn("split", names).drop("__run")
 
@@ -145,6 +152,8 @@ def split_by_counts(
     """As ``split_corpus``, with test and train rows truncated and the rest for validation."""
     sizes = class_sizes(df, label)
     n = sum(sizes.values())
+    if not (0.0 <= test_share and 0.0 <= train_share and test_share + train_share <= 1.0):
+        raise ValueError("shares must lie between 0 and 1, in sum too")
     test, train = int(test_share * n), int(train_share * n)
     return _split(df, sizes, test, n - test - train, label, seed)
 
@@ -158,7 +167,7 @@ def assign_folds(df: DataFrame, folds: int = 5, label: str | None = "label") ->
     for c, n in sizes.items():
         base, spare = divmod(n, folds)
         ends[c] = list(accumulate(base + (1 if i < spare else 0) for i in range(folds - 1)))
-    return _segment(df, ends, label, None, "fold").withColumn("fold", F.col("fold") + 1)
+    return _segment(df, ends, label, None, "fold", sum(sizes.values())).withColumn("fold", F.col("fold") + 1)
 
 
 def first_per_class(df: DataFrame, n: int = 3, label: str = "label", order: str = "id") -> DataFrame:

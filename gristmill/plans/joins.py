@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gristmill.plans.lineage import small_side
+
 # A key with more rows than this is dealt out over several tasks.
 HOT_ROWS = 100_000
-# At most this many hot keys are fetched; more than that only arise above 10^11 rows.
-MAX_HOT_KEYS = 1_000_000
 PART = "__part"
 
 
@@ -19,14 +19,11 @@ def hot_join(
 
     ``counts`` has the keys and ``n``, the rows each key has on the left. A hot key's rows
     are dealt by ``deal_by`` into parts of about ``HOT_ROWS``, and its right row is repeated
-    once per part. Without hot keys this is the plain join.
+    once per part. The table of hot keys is broadcast where it is measured to be small, and
+    joined in the ordinary way where not.
     """
     parts = F.ceil(F.col("n") / HOT_ROWS).cast("int")
-    hot = counts.filter(F.col("n") > HOT_ROWS).select(*keys, parts.alias("parts"))
-    found = hot.limit(MAX_HOT_KEYS + 1).toArrow()
-    if not 0 < found.num_rows <= MAX_HOT_KEYS:
-        return left.join(right, keys, how)
-    hot = F.broadcast(left.sparkSession.createDataFrame(found, hot.schema))
+    hot = small_side(counts.filter(F.col("n") > HOT_ROWS).select(*keys, parts.alias("parts")))
     n_parts = F.coalesce("parts", F.lit(1))
     dealt = left.join(hot, keys, "left") \
         .withColumn(PART, F.pmod(F.xxhash64(deal_by), n_parts).cast("int")).drop("parts")

@@ -4,16 +4,25 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# Folders written inside the innermost open ``scratch``, for each open one.
+_OPEN: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; one of our own only where none is set."""
+    """The folder the cluster names for checkpoints; one of our own only in local mode.
+
+    Executors on other machines would not see a folder that the driver makes for itself.
+    """
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="gristmill-")
         spark.conf.set(CHECKPOINT_CONF, named)
     return named.rstrip("/")
@@ -26,18 +35,33 @@ def settle(df: DataFrame) -> DataFrame:
     the scan gives the planner real sizes and column pruning.
     """
     path = f"{shared_dir(df.sparkSession)}/gristmill-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, max_rows: int = 10_000) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete what is settled inside the block when it ends; results must be written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _OPEN.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(hadoop).delete(target, True)
+
+
+def small_side(df: DataFrame, max_rows: int = 10_000, max_bytes: int = 32 << 20) -> DataFrame:
     """``df`` as a join side: broadcast when it is measured to be small, else left alone.
 
-    The measurement fetches at most ``max_rows + 1`` rows. Beyond the limit the plan keeps
+    The measurement fetches at most ``max_rows + 1`` rows. Beyond either limit the plan keeps
     the ordinary shuffled join, which adaptive execution sizes and splits.
     """
     table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
+    if table.num_rows > max_rows or table.nbytes > max_bytes:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
 
