@@ -67,7 +67,7 @@ def test_sets_of_three(spark):
     near = settle(nb.knn(index, 5))
     found = issues.near_duplicate_issues(near, 0.001)
     assert {r.id for r in found.filter("is_near_duplicate_issue").collect()} == {1, 2, 3}
-    assert {r.id: set(r.near_duplicate_sets) for r in found.collect()}[1] == {2, 3}
+    assert {r.id: set(r.nearest_duplicates) for r in found.collect()}[1] == {2, 3}
     assert {r.id for r in repair.drop_near_duplicates(df, found).collect()}.isdisjoint({1, 2, 3})
     left = repair.drop_near_duplicates(df, found, "first", nb.within(index, 0.001)).collect()
     assert {1, 2, 3} & {r.id for r in left} == {1}
