@@ -39,11 +39,11 @@ PATTERNS = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])",
     "name": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20[A-Z][a-z]++",
 }
-# A cheap test that every text with a match passes.
+TITLES = ("Mr", "Ms", "Dr", "Herr", "Frau", "Monsieur", "Madame", "Señor")
+# A cheap test that every text with a match passes; all but the first and last need a digit.
 HINTS = {
-    "email": "@", "ip": r"[0-9]\.[0-9]++\.", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]",
+    "ip": r"[0-9]\.[0-9]++\.", "card": r"[0-9](?:[\x20-]?[0-9]){12}", "phone": r"\+[0-9]",
     "tel": r"[0-9][\x20.-][0-9]{4}", "ssn": r"-[0-9]{2}-[0-9]", "iban": r"[A-Z]{2}[0-9]{2}",
-    "name": r"(?:Mr|Mrs|Ms|Dr|Herr|Frau|Monsieur|Madame|Señor|Señora)\.?\x20[A-Z]",
 }
 # What the gazetteer and the context labeler know.
 DOMAINS = "com org net edu gov io co info biz de fr es uk eu us ch at it nl be ca au jp".split()
@@ -60,18 +60,35 @@ AROUND = 32
 CUTOFF = 0.5
 
 
-def pieces(text: Column, kind: str) -> Column:
-    """Structs of a kind's matches: number, length of the text before, match, context, next character."""
-    pattern = PATTERNS[kind]
-    none = F.array().cast("array<string>")
-    hint = text.contains("@") if kind == "email" else text.rlike(HINTS[kind])
-    matches = F.when(hint, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none)
-    gaps = F.when(hint, F.split(text, pattern, -1)).otherwise(none)
+def with_pieces(texts: DataFrame) -> DataFrame:
+    """Replace ``text`` by ``pieces``: structs of each kind's matches, with the number, the length of the
+    text before, the match, its context and the next character.
+
+    Hints, matches and gaps are columns of their own, so each pattern runs once over a text, and only over
+    texts that can hold a match.
+    """
+    text, none = F.col("text"), F.array().cast("array<string>")
+    titled = text.contains(TITLES[0])
+    for title in TITLES[1:]:
+        titled = titled | text.contains(title)
+    hinted = texts.withColumn("__digit", text.rlike("[0-9]")).withColumns({
+        "__email": text.contains("@"), "__name": titled,
+        **{f"__{k}": F.when(F.col("__digit"), text.rlike(p)).otherwise(False) for k, p in HINTS.items()}})
+    matched = hinted.withColumns({f"__m_{k}": F.when(F.col(f"__{k}"), F.regexp_extract_all(text, F.lit(PATTERNS[k]), F.lit(0)))
+                                  .otherwise(none) for k in KINDS})
     # There is one gap more than matches.
-    aligned = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, F.size(matches)).alias("g"), F.slice(gaps, 2, F.size(matches)).alias("h"))
-    return F.transform(aligned, lambda z, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("i"), F.length(z["g"]).alias("gap"), z["m"].alias("value"),
-        F.right(z["g"], F.lit(AROUND)).alias("before"), F.left(z["h"], F.lit(1)).alias("after")))
+    split = matched.withColumns({f"__g_{k}": F.when(F.size(f"__m_{k}") > 0, F.split(text, PATTERNS[k], -1)).otherwise(none)
+                                 for k in KINDS})
+
+    def of(kind: str) -> Column:
+        matches, gaps = F.col(f"__m_{kind}"), F.col(f"__g_{kind}")
+        n = F.size(matches)
+        aligned = F.arrays_zip(matches.alias("m"), F.slice(gaps, 1, n).alias("g"), F.slice(gaps, 2, n).alias("h"))
+        return F.transform(aligned, lambda z, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("i"), F.length(z["g"]).alias("gap"), z["m"].alias("value"),
+            F.right(z["g"], F.lit(AROUND)).alias("before"), F.left(z["h"], F.lit(1)).alias("after")))
+
+    return split.select("row", "id", F.concat(*map(of, KINDS)).alias("pieces"))
 
 
 def digits(value: Column) -> Column:
@@ -120,7 +137,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     """All documents (row, id) and all candidates (row, kind, start, end, passed, votes, bucket)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = with_row(dealt(docs.select(F.col(id_col).alias("id"), text.alias("text"))))
-    split = settle(source.select("row", "id", F.concat(*[pieces(F.col("text"), k) for k in KINDS]).alias("pieces")))
+    split = settle(with_pieces(source))
     upto = Window.partitionBy("row", "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     size = F.length("value")
     one = split.select("row", F.explode("pieces").alias("p")).select("row", "p.*") \
