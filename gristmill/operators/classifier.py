@@ -143,12 +143,17 @@ def word_scorer(weights: dict[str, float], intercept: float = 0.0) -> Scorer:
 def score_by_table(df: DataFrame, weights: DataFrame, intercept: float = 0.0, key: str = "id") -> DataFrame:
     """Linear scoring with a weight table (token, weight) of any size.
 
-    Tokens are counted per row before the join, so a frequent token is one row per text.
+    Beside a table measured to be small, weights are summed per text before the one shuffle. Beside a
+    larger one tokens are counted per text first, so a frequent token is one row per text in the join.
     """
-    counted = df.select(key, F.explode(tx.tokens(F.col("text"))).alias("token")) \
-        .groupBy(key, "token").agg(F.count("*").alias("n"))
-    totals = counted.join(small_side(weights.select("token", "weight"), 300_000), "token") \
-        .groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("total"))
+    placed = df.select(key, F.explode(tx.tokens(F.col("text"))).alias("token"))
+    table = weights.select("token", "weight")
+    side = small_side(table, 300_000)
+    if side is not table:
+        totals = placed.join(side, "token").groupBy(key).agg(F.sum("weight").alias("total"))
+    else:
+        totals = placed.groupBy(key, "token").agg(F.count("*").alias("n")).join(table, "token") \
+            .groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("total"))
     return df.join(totals, key, "left").withColumn(
         "p_pos", sigmoid(F.coalesce("total", F.lit(0.0)) + F.lit(float(intercept)))).drop("total")
 

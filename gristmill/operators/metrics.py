@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gristmill.functions.scores import predicted
-from gristmill.operators.ordering import BUCKET, with_quantile_bucket, with_running_count
+from gristmill.operators.ordering import with_quantile_bucket, with_running_count
+from gristmill.plans.lineage import settle
 
 
 def with_prediction(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -45,6 +46,12 @@ def confusion_metrics(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     return counts.select("*", *[c.alias(name) for name, c in rates().items()])
 
 
+def fold_scores(scored: DataFrame) -> DataFrame:
+    """p_pos, pos, neg: rows of each class per distinct score, written once."""
+    return settle(scored.groupBy("p_pos").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")))
+
+
 def auroc(scored: DataFrame) -> DataFrame:
     """One row, ``AUROC``: the share of (positive, negative) pairs ranked right, ties half.
 
@@ -52,10 +59,11 @@ def auroc(scored: DataFrame) -> DataFrame:
     count of negatives is a window inside each bucket plus the bucket's offset. No window
     spans the table. Null when a class is absent.
     """
-    bucketed = with_quantile_bucket(scored.select("label", "p_pos"), "p_pos")
-    per_score = bucketed.groupBy(BUCKET, "p_pos").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"))
-    running = with_running_count(per_score, "p_pos", "neg")
+    return _auroc(fold_scores(scored))
+
+
+def _auroc(folded: DataFrame) -> DataFrame:
+    running = with_running_count(with_quantile_bucket(folded, "p_pos"), "p_pos", "neg")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     below = F.col("upto").cast("double") - neg
     return running.agg(
@@ -63,9 +71,17 @@ def auroc(scored: DataFrame) -> DataFrame:
 
 
 def evaluate(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """One row: Precision, Recall, F1, AUROC, MCC. Give it a table that is cheap to read twice."""
-    return confusion_metrics(scored, threshold).select(
-        "Precision", "Recall", "F1", auroc(scored).scalar().alias("AUROC"), "MCC")
+    """One row: Precision, Recall, F1, AUROC, MCC. ``scored`` is read once."""
+    folded = fold_scores(scored)
+    sure = predicted(F.col("p_pos"), threshold)
+
+    def total(count: str, pred: int):
+        return F.coalesce(F.sum(F.when(sure == pred, F.col(count))), F.lit(0))
+
+    counts = folded.agg(total("pos", 1).alias("tp"), total("neg", 1).alias("fp"),
+                        total("pos", 0).alias("fn"), total("neg", 0).alias("tn"))
+    return counts.select(*[c.alias(name) for name, c in rates().items()]).select(
+        "Precision", "Recall", "F1", _auroc(folded).scalar().alias("AUROC"), "MCC")
 
 
 def log_loss(scored: DataFrame) -> DataFrame:
