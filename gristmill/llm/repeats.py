@@ -43,9 +43,9 @@ LENGTH = 200
 LETTER = 40
 ANCHOR = 64
 BITS = 26
-BUCKET_BYTES = 1 << 21
+BUCKET_BYTES = 1 << 20
 SHARD_BYTES = 1 << 18
-GROUP_LIMIT = 4_096
+GROUP_LIMIT = 2_048
 
 _VALUES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _OTHERS = np.random.default_rng(13).integers(1, 1 << 63, 256, dtype=np.uint64)
