@@ -26,7 +26,7 @@ from gristmill.plans.lineage import settle
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE, CAP = 1.5, 2.0
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 4_096
 
 
 def sized(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str = "text",
