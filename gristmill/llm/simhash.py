@@ -166,15 +166,17 @@ def placed(distinct: DataFrame, nodes: list, radius: int) -> DataFrame:
 # ---- comparing blocks -------------------------------------------------------------------------
 
 def merge_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest label over linked positions, to the end."""
-    while len(a):
-        low = np.minimum(labels[a], labels[b])
-        np.minimum.at(labels, a, low)
-        np.minimum.at(labels, b, low)
-        labels = labels[labels]
-        open_ = labels[a] != labels[b]
+    """Smallest label over linked positions, to the end; every label given or returned is a root's own."""
+    while True:
+        a, b = labels[a], labels[b]
+        open_ = a != b  # ends under one root stay so
+        if not open_.any():
+            return labels
         a, b = a[open_], b[open_]
-    return labels
+        labels = labels.copy()
+        np.minimum.at(labels, np.maximum(a, b), np.minimum(a, b))
+        while ((higher := labels[labels]) != labels).any():
+            labels = higher
 
 
 def close_pairs(x: np.ndarray, y: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -125,6 +126,60 @@ def test_tree_finds_every_close_pair(spark, monkeypatch):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
+def test_forest_joins_a_root_met_late():
+    fps = np.array([7, 64, 128, 134], np.uint64)
+    values, roots = simhash.forest(fps, fps, 2)
+    assert dict(zip(values.tolist(), roots.tolist())) == {64: 7, 128: 7, 134: 7}
+
+
+def chains(seed, count, length):
+    """Distinct fingerprints of walks by two bits a step, and the smallest of each one's group by union-find."""
+    rng = random.Random(seed)
+    fps = set()
+    for _ in range(count):
+        at = rng.getrandbits(64)
+        for _ in range(length):
+            fps.add(at)
+            for bit in rng.sample(range(64), 2):
+                at ^= 1 << bit
+    fps = np.array(sorted(fps), np.uint64)
+    root = list(range(len(fps)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+    for i in range(len(fps)):
+        for j in np.flatnonzero(np.bitwise_count(fps[:i] ^ fps[i]) <= 2).tolist():
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    return fps, fps[[find(i) for i in range(len(fps))]]
+
+
+@pytest.mark.parametrize("tile", [64, 4096, simhash.TILE])
+@pytest.mark.parametrize("seed, count, length", [(1, 40, 12), (2, 3, 1_000), (3, 1, 3_000)])
+def test_forest_against_union_find_on_long_chains(monkeypatch, tile, seed, count, length):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    fps, want = chains(seed, count, length)
+    values, roots = simhash.forest(fps, fps, 2)
+    got = dict(zip(values.tolist(), roots.tolist()))
+    assert [got.get(f, f) for f in fps.tolist()] == want.tolist()
+
+
+@pytest.mark.parametrize("block, tile, leaf_rows", [(64, 4096, 64), (simhash.BLOCK, simhash.TILE, simhash.LEAF_ROWS)])
+def test_groups_against_union_find_on_long_chains(spark, monkeypatch, block, tile, leaf_rows):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    monkeypatch.setattr(simhash, "TILE", tile)
+    fps, want = chains(4, 8, 300)
+    table = spark.createDataFrame([(f,) for f in fps.view(np.int64).tolist()], "fp long")
+    got = {r.fp: r.root for r in simhash.fingerprint_groups(table, 2, leaf_rows=leaf_rows).collect()}
+    groups, expected = {}, {}
+    for fp, signed, r in zip(fps.tolist(), fps.view(np.int64).tolist(), want.tolist()):
+        groups.setdefault(got.get(signed, signed), set()).add(fp)
+        expected.setdefault(r, set()).add(fp)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
