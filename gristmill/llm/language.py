@@ -7,8 +7,9 @@ line switches language. A text's language has the largest sum over its words, it
 sum's share.
 
 It learns from lines of labelled documents outside the held-out fold: about ``lines_per_language``
-lines of at most ``LINE_BYTES`` bytes, chosen by hash, for each language, and lines joined from two languages
-to learn switches. That sample is the only data that reaches the driver.
+lines, chosen by hash, for each language, and lines joined from two languages
+to learn switches. A line of over ``LINE_BYTES`` bytes counts as several: it is cut at word bounds, and a longer word
+between characters. That sample is the only data that reaches the driver.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything where no
 labelled text exists. Chains end at line breaks and after ``CHAIN`` words. Rows are told apart
@@ -17,12 +18,14 @@ by row; extra columns are ignored by ``identify`` and returned by ``keep_known``
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from gristmill.llm.common import dealt, held_out, ship, with_row
@@ -38,7 +41,9 @@ CHAIN = 64
 TRAIN_CHAIN = 30
 AFFIXES = (2, 3, 4)
 LEAST_SCORE = 0.5
+SIGN = 1 << 63         # makes a hash a signed number
 _ASCII_LETTER = re.compile(rb"[A-Za-z]")
+_LETTER = letter_bytes().tolist()
 
 
 @dataclass(frozen=True)
@@ -215,6 +220,22 @@ def fit(lines: list[tuple[str, bytes]], rounds: int = 40, rate: float = 0.25, pe
     return Model(languages, model.weights, params[1], params[2])
 
 
+def pieces(line: bytes, most: int) -> Iterator[bytes]:
+    """The line in runs of at most ``most`` bytes, cut at word bounds, and inside a longer word between characters."""
+    start = 0
+    while len(line) - start > most:
+        end = start + most
+        while end > start and _LETTER[line[end]] and _LETTER[line[end - 1]]:
+            end -= 1
+        if end == start:
+            end = start + most
+            while end > start + 1 and line[end] & 0xC0 == 0x80:
+                end -= 1
+        yield line[start:end]
+        start = end
+    yield line[start:]
+
+
 def training_lines(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list[tuple[str, bytes]]:
     """The bounded sample: hashed lines of labelled documents outside the held-out fold."""
     docs = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
@@ -226,18 +247,29 @@ def training_lines(docs: DataFrame, id_col: str, text_col: str, lang_col: str, p
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col)) \
         .join(F.broadcast(counts), lang_col) \
         .filter(F.pmod(F.xxhash64(F.lit(8), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(wide)) < chance)
-    lines = F.filter(F.split("text", "\n"), lambda x: (F.octet_length(x) <= LINE_BYTES) & x.rlike(r"\p{L}"))
-    ranked = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("h"), x.alias("line")))
-    few = F.slice(F.array_sort(ranked), 1, 2)
-    found = picked.select(lang_col, F.explode(few).alias("l")).select(lang_col, "l.line", "l.h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+                ranked = (((xxhash.xxh64_intdigest(x, 42) ^ SIGN) - SIGN, x) for line in text.split(b"\n") for x in pieces(line, LINE_BYTES))
+                usable = (r for r in ranked if any(c.isalpha() for c in r[1].decode("utf-8", "ignore")))
+                found += [(h, lang, x) for h, x in heapq.nsmallest(2, usable)]
+            h, lang, x = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h, pa.int64()), pa.array(lang, pa.string()), pa.array(x, pa.binary())],
+                ["h", "lang", "line"])
+
+    found = picked.select(F.col(lang_col).cast("string").alias("lang"), F.col("text").cast("binary").alias("text")) \
+        .mapInArrow(run, "h long, lang string, line binary")
     table = found.toArrow()  # about two lines for each picked document
-    rows = sorted(zip(table.column("h").to_pylist(), table.column(lang_col).to_pylist(), table.column("line").to_pylist()))
+    rows = sorted(zip(table.column("h").to_pylist(), table.column("lang").to_pylist(), table.column("line").to_pylist()))
     taken: dict[str, int] = {}
     out = []
     for _, lang, line in rows:
         if taken.get(lang, 0) < per_language:
             taken[lang] = taken.get(lang, 0) + 1
-            out.append((lang, line.encode()))
+            out.append((lang, line))
     return out
 
 

@@ -131,6 +131,33 @@ def test_language_on_held_out_documents(spark):
     assert right >= 0.98 * found.count() > 0
 
 
+def test_long_lines_are_cut_at_word_bounds():
+    words = ["w" * (1 + i % 13) for i in range(1_000)]
+    cut = list(language.pieces(" ".join(words).encode(), 300))
+    assert b"".join(cut) == " ".join(words).encode() and max(map(len, cut)) <= 300
+    assert b" ".join(cut).decode().split() == words
+    joined = ("漢" * 1_000 + "x" * 2_000).encode()
+    cut = list(language.pieces(joined, 301))
+    assert b"".join(cut) == joined and max(map(len, cut)) <= 301
+    assert "".join(c.decode() for c in cut) == joined.decode()
+
+
+def test_language_learns_from_single_lines_over_the_bound(spark):
+    rng = random.Random(5)
+    syllables = {"aa": ["ba", "bo", "bu"], "mm": ["lin", "lan", "lon"], "zz": ["ki", "ke", "ky"]}
+    word = lambda lang: "".join(rng.choice(syllables[lang]) for _ in range(3))
+    rows = [(i, " ".join(word(lang) for _ in range(400)), lang) for i, lang in enumerate(sorted(syllables) * 30)]
+    rows += [(100 + i, "".join(chr(0x4E00 + rng.randrange(500)) for _ in range(900)), "zh") for i in range(30)]
+    assert all(len(r[1].encode()) > 1_000 and "\n" not in r[1] for r in rows)
+    docs = shared.docs(spark, rows)
+    lines = language.training_lines(docs, "doc_id", "text", "lang", 1_000)
+    assert {lang for lang, _ in lines} == {"aa", "mm", "zh", "zz"} and all(len(x) <= 1_000 for _, x in lines)
+    texts = [t.encode() for _, t, _ in rows]
+    assert any(not any(t.startswith(x) for t in texts) for _, x in lines)
+    found = {r.id: r.lang_pred for r in language.identify(docs).collect()}
+    assert [found[i] for i, _, lang in rows if lang != "zh"] == [lang for _, _, lang in rows if lang != "zh"]
+
+
 def test_language_und(spark):
     rows = [(1, "the and of", "en"), (2, "der die das", "de"), (3, None), (4, "— … 123"), (5, "漢字")]
     found = {r.id: r.lang_pred for r in language.identify(shared.docs(spark, rows * 5)).collect()}
