@@ -1,10 +1,9 @@
 """Secret scan: fixed patterns, and two character Markov models compared by likelihood ratio.
 
 The models give the probability of a character after the one before it, in random strings
-and in ordinary identifiers. They are trained on labelled samples: the values that the fixed patterns
+and in ordinary identifiers. They are trained on labelled tokens: the values that the fixed patterns
 find are random strings; other tokens that are mostly letters of one case are ordinary (an unlabelled secret
-rarely is). The sample is at most
-about ``train_docs`` documents, chosen by hash; in it, tasks count character pairs, and only sums of
+rarely is). Tasks count character pairs in every document, and only sums of
 a table bounded by the alphabet reach the driver. Then every token of 16 or more
 characters in every text gets its log-likelihood ratio; one above the threshold per character and
 in total is a span of kind ``markov``, unless it touches a span of a fixed pattern.
@@ -41,7 +40,6 @@ LEAST_VALUE = 12
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1     # the last one stands before a token
 TOKEN_LEAST = 16
-TRAIN_DOCS = 20_000
 PER_CHARACTER, IN_TOTAL = 0.5, 16.0  # nats
 LEAN = 20.0
 
@@ -124,7 +122,7 @@ class Scan:
         return table[SYMBOLS - 1, codes[self.starts]] + steps[self.ends - 1] - steps[self.starts]
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> np.ndarray:
+def train(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """The table of log-likelihood ratios, random against ordinary, by (character before, character)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, SYMBOLS * SYMBOLS), np.int64)
@@ -140,15 +138,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
         yield pa.RecordBatch.from_arrays(
             [pa.array(kind), pa.array(pair), pa.array(sums[kind, pair])], ["kind", "pair", "n"])
 
-    total = docs.count()
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    if total > train_docs:
-        wide = 1 << 30
-        source = source.filter(
-            F.pmod(F.xxhash64(F.lit(4), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(wide))
-            < int(wide * train_docs / total))
+    source = docs.select(F.col(text_col).cast("binary").alias("text"))
     # At most two rows for each pair of symbols.
-    sums = dealt(source.select("text")).mapInArrow(run, "kind long, pair long, n long") \
+    sums = dealt(source).mapInArrow(run, "kind long, pair long, n long") \
         .groupBy("kind", "pair").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((2, SYMBOLS * SYMBOLS))
     counts[sums.column("kind").to_numpy(), sums.column("pair").to_numpy()] = sums.column("n").to_numpy()
@@ -195,7 +187,7 @@ def scan(
     return rows.mapInArrow(run, f"row long, id {kind}, spans array<struct<kind:string,start:int,end:int>>")
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS,
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  per_character: float = PER_CHARACTER, in_total: float = IN_TOTAL) -> DataFrame:
-    """Train on a sample, then scan every text."""
-    return scan(docs, train(docs, id_col, text_col, train_docs), id_col, text_col, per_character, in_total)
+    """Train on all texts, then scan each."""
+    return scan(docs, train(docs, text_col), id_col, text_col, per_character, in_total)

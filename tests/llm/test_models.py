@@ -85,6 +85,14 @@ def test_random_strings_score_above_identifiers(spark):
     assert sum([(s.kind, s.start, s.end) for s in spans] == [("markov", 4, 36)] for spans in hits) >= 95
 
 
+def test_markov_models_count_every_document(spark):
+    rng = random.Random(4)
+    secret = lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(32))
+    few = spark.createDataFrame([(i, f"parse_config_reader password={secret()}") for i in range(20)], "doc_id long, text string")
+    rest = spark.range(1_000, 101_000).select(F.col("id").alias("doc_id"), F.lit("- -").alias("text"))
+    assert (secrets.train(few) == secrets.train(few.unionByName(rest))).all()
+
+
 def test_labelers_are_weighed_and_wider_kinds_found(spark):
     good = [(i, f"Please call, phone: (262) 555-{1000 + i} today") for i in range(60)]
     bad = [(100 + i, f"order total version 262.555.{1000 + i}7z item") for i in range(60)]
