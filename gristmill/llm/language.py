@@ -274,7 +274,7 @@ def training_lines(docs: DataFrame, id_col: str, text_col: str, lang_col: str, p
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: row, id, check (hash of its text), lang_pred, score."""
+    """Per document: row, id, check (hash of its text), lang_pred, score, sure (mean of each word's highest probability)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +284,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         names = np.array([*m.languages, UNKNOWN], object)
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
-            best, share = np.full(len(texts), k), np.zeros(len(texts))
+            best, share, sure = np.full(len(texts), k), np.zeros(len(texts)), np.zeros(len(texts))
             for first, last in chunks(texts) if k else ():
                 scan = Words(texts[first:last], values)
                 if not len(scan.starts):
@@ -300,20 +300,21 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 at = scan.text[heads]
                 best[first + at] = sums.argmax(axis=1)
                 share[first + at] = sums.max(axis=1) / sums.sum(axis=1)
+                sure[first + at] = np.add.reduceat(found.max(axis=1), heads) / sums.sum(axis=1)
             for i, text in enumerate(texts):
                 if best[i] < k and not _ASCII_LETTER.search(text) and not any(c.isalpha() for c in text.decode()):
-                    best[i], share[i] = k, 0.0
+                    best[i], share[i], sure[i] = k, 0.0, 0.0
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), batch.column("check"),
-                 pa.array(names[best].tolist(), pa.string()), pa.array(share)],
-                ["row", "id", "check", "lang_pred", "score"])
+                 pa.array(names[best].tolist(), pa.string()), pa.array(share), pa.array(sure)],
+                ["row", "id", "check", "lang_pred", "score", "sure"])
 
     text = F.col(text_col)
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("check"),
                          text.cast("binary").alias("text"))
     rows = with_row(dealt(source))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, id {kind}, check long, lang_pred string, score double")
+    return rows.mapInArrow(run, f"row long, id {kind}, check long, lang_pred string, score double, sure double")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -325,9 +326,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents with a language and at least ``least_score``, with all their columns."""
+    """The documents with a language and words at least ``least_score`` sure, of one language or several, with all their columns."""
     found = identify(docs, id_col, text_col, lang_col)
-    bad = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least_score)) \
+    bad = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("sure") < least_score)) \
         .select(F.col("id").alias("__i"), F.col("check").alias("__c")).distinct()
     check = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__i")) & (check == F.col("__c")), "left_anti")

@@ -166,6 +166,18 @@ def test_language_learns_from_single_lines_over_the_bound(spark):
     assert [found[i] for i, _, lang in rows if lang != "zh"] == [lang for _, _, lang in rows if lang != "zh"]
 
 
+def test_documents_in_three_known_languages_stay(spark):
+    rng = random.Random(6)
+    syllables = {"aa": ["ba", "bo", "bu"], "mm": ["lin", "lan", "lon"], "zz": ["ki", "ke", "ky"]}
+    word = lambda lang: "".join(rng.choice(syllables[lang]) for _ in range(3))
+    rows = [(i, " ".join(word(lang) for _ in range(40)), lang) for i, lang in enumerate(sorted(syllables) * 30)]
+    switched = "\n".join(" ".join(word(lang) for _ in range(n)) for lang, n in [("aa", 18), ("mm", 12), ("zz", 10)])
+    docs = shared.docs(spark, rows + [(1000, switched), (1001, "123 - 4")])
+    found = {r.id: r for r in language.identify(docs).collect()}
+    assert found[1000].lang_pred == "aa" and found[1000].score < 0.5 <= found[1000].sure
+    assert {r.doc_id for r in language.keep_known(docs).collect()} == {*range(90), 1000}
+
+
 def test_language_und(spark):
     rows = [(1, "the and of", "en"), (2, "der die das", "de"), (3, None), (4, "— … 123"), (5, "漢字")]
     found = {r.id: r.lang_pred for r in language.identify(shared.docs(spark, rows * 5)).collect()}
