@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gristmill.llm import decontaminate, exact_dedup, language, line_dedup, mixing, pii, repeats, secrets, simhash, toxicity
+from gristmill.llm import (
+    alignment, decontaminate, exact_dedup, language, line_dedup, mixing, pii, repeats, repetition, resample, secrets, simhash,
+    toxicity)
 from gristmill.llm.common import held_out, table
 
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -172,6 +174,56 @@ def op10_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+# SQL has no crc32: its table of 256 remainders, then one step per byte of each distinct word.
+OP11 = f"""
+WITH remainders AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(
+    list_concat([i], list_transform(range(8), lambda k: 0::BIGINT)),
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)) AS r),
+d AS (
+  SELECT row_number() OVER () AS row, doc_id, {WORDS.format(text=LOWERED)} AS words FROM documents),
+dw AS (SELECT row, unnest(words) AS word FROM d),
+bw AS (SELECT unnest({WORDS.format(text=LOWERED)}) AS word FROM benchmark),
+hashed AS MATERIALIZED (
+  SELECT word, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(range(strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), 2 * i + 1, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT word FROM dw UNION SELECT word FROM bw), remainders),
+source AS (SELECT bucket, count(*) AS s FROM dw JOIN hashed USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM source) + 10000)
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM target) + 10000))))::BIGINT AS gain
+  FROM source FULL JOIN target USING (bucket)),
+summed AS (
+  SELECT row, sum(gain)::BIGINT AS weight FROM dw JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY row),
+scored AS (
+  SELECT row, doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM d LEFT JOIN summed USING (row)),
+ranks AS (
+  SELECT row, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS draw
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= draw THEN rank END AS rank
+FROM scored LEFT JOIN ranks USING (row)"""
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "covered", "longest")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_exact_dedup": op2_exact_dedup,
@@ -183,10 +235,14 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_simhash_groups": op10_simhash_groups,
+    "op11_importance_resample": op11_importance_resample,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_token_alignment": op13_token_alignment,
 }
 SQL = {
     "op1_line_dedup": OP1,
     "op2_exact_dedup": OP2,
     "op3_source_mix": OP3,
     "op7_decontaminate": OP7,
+    "op11_importance_resample": OP11,
 }
