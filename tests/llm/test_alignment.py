@@ -45,8 +45,9 @@ def brute(rows, sides):
                 links.append((ids_a[i], ids_b[k]))
                 k += 1
         groups, x, y = [], 0, 0
+        place_a, place_b = ({end: i + 1 for i, end in enumerate(ends)} for ends in (ends_a, ends_b))
         for end in sorted(set(ends_a) & set(ends_b)):
-            i, k = ends_a.index(end) + 1, ends_b.index(end) + 1
+            i, k = place_a[end], place_b[end]
             groups.append(",".join(map(str, ids_a[x:i])) + "|" + ",".join(map(str, ids_b[y:k])))
             x, y = i, k
         count.update(links)
