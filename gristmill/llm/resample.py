@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gristmill.llm.common import dealt, join_sliced, ship, with_row
+from gristmill.llm.common import join_sliced, ship, with_row
 from gristmill.plans.lineage import settle
 
 ship(__name__)
@@ -179,8 +179,8 @@ def digest(text: Column) -> Column:
 
 def counted(texts: DataFrame) -> DataFrame:
     """key, n and text (bytes) of every distinct ``text``; copies fold before the shuffle."""
-    return dealt(texts.groupBy("text").agg(F.count("*").alias("n"))) \
-        .select(digest(F.col("text")).alias("key"), "n", F.col("text").cast("binary").alias("text"))
+    return texts.groupBy("text").agg(F.count("*").alias("n")).select(
+        digest(F.col("text")).alias("key"), "n", F.col("text").cast("binary").alias("text"))
 
 
 def _lines(docs: DataFrame, text: Column) -> DataFrame:
