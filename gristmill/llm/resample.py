@@ -45,6 +45,7 @@ SEED = 2024
 PIECE_BYTES = 1 << 20
 # Distinct features whose bucket a task remembers.
 REMEMBERED = 200_000
+ADDERS = 8
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _GAP = re.compile(rb"[^0-9A-Za-z\x80-\xff]")
@@ -131,20 +132,24 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def bucket_counts(found: DataFrame, buckets: int) -> np.ndarray:
     """How often each bucket occurs, ``n`` times per row."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
         for batch in batches:
             values, starts = _lists(batch.column("buckets"))
             np.add.at(total, values, np.repeat(batch.column("n").to_numpy(), np.diff(starts)))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
-
-    # A row per bucket at most.
-    rows = found.select("n", "buckets").mapInArrow(run, "bucket long, n long") \
-        .groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(buckets, np.int64)
-    out[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
-    return out
+        if total.any():
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for packed in batch.column("counts"):
+                total += np.frombuffer(packed.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+
+    # One packed row per task, added up in a few tasks: the driver gets a row from each of these.
+    rows = found.select("n", "buckets").mapInArrow(count, "counts binary").repartition(ADDERS).mapInArrow(add, "counts binary")
+    return sum((np.frombuffer(r.counts, np.int64) for r in rows.collect()), np.zeros(buckets, np.int64))
 
 
 def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
