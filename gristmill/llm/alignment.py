@@ -61,7 +61,7 @@ PLAIN_SPLIT = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True
 # Words longer than this are merged by the library whose time doesn't grow with their square.
 LONG_WORD = 400
 
-_LONG = re.compile(r"\S{%d}|\s{%d}" % (LONG_WORD, LONG_WORD))
+_LONG_GAP = re.compile(r"\s{%d}" % LONG_WORD)
 _CUT = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 
 
@@ -133,7 +133,7 @@ class Sides:
         return out
 
     def encode_a(self, piece: str) -> list[int]:
-        if self.fast is None or _LONG.search(piece):
+        if self.fast is None or max(map(len, piece.split()), default=0) > LONG_WORD or _LONG_GAP.search(piece):
             return self.a.encode(piece, add_special_tokens=False).ids
         return self.fast.encode_ordinary(piece)
 

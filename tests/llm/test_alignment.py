@@ -118,13 +118,17 @@ def test_merge_sums_equal_keys():
     assert dict(zip(keys.tolist(), np.concatenate([c for _, c in out]).tolist())) == dict(want)
 
 
-def test_both_ways_to_encode_side_a_agree(sides):
+def test_ways_to_encode_agree(sides):
     with open(alignment.FILE_A, "rb") as a, open(alignment.FILE_B, "rb") as b:
         opened = alignment.Sides(a.read(), b.read())
     assert opened.fast is not None
     rnd = random.Random(6)
     marks = [chr(c) for c in range(0x2100) if c not in range(0xD800, 0xE000)] + list("漢字한글🙂\u2028\u3000\ufeff")
     texts = ["".join(rnd.choice(marks) for _ in range(30)) for _ in range(3_000)]
+    texts += [" ".join(rnd.choice(["a", "b,", "", "c\n", "\td", "é", "e.f", "1", "\u00a0g", "h\u2028", "'s"]) for _ in range(20)) for _ in range(3_000)]
     texts += ["word " * 90, " " * 900 + "x", "x" * 5_000, "12 " * 500, "\n" * 700, "I'll you've it's 'tis", "<|endoftext|>"]
     for text in texts:
+        found = opened.encode([" " + text])[0]
+        assert found is None or found[1] == sides[1].encode(text)
+        assert found is None or found[0] == opened.encode_a(" " + text)
         assert opened.encode_a(" " + text) == sides[0].encode(" " + text, add_special_tokens=False).ids
