@@ -1,20 +1,24 @@
-"""Exact nearest neighbours by cosine distance.
+"""Nearest neighbours by cosine distance, exact or probed.
 
-The search is a blocked similarity join with triangle-inequality pruning:
+The exact search is a blocked similarity join with triangle-inequality pruning:
 
 1. Rows with the same vector are folded into one *group* that carries its lowest ids, so
    a vector shared by a third of the table costs one comparison, not a quadratic number.
-2. Group vectors are assigned to the nearest of a bounded set of pivots (cells), and large
-   cells are cut into blocks of bounded size.
+2. A tree of two levels is grown on a bounded sample: *tops*, and under each its own cells. A group goes to the
+   nearest top and there to the nearest cell; large cells are cut into blocks of bounded size.
 3. Each block is solved on its own, which bounds every row's k-th distance from above.
-4. A row then visits just those other blocks whose cell may hold something closer. Visits
-   travel as packed batches, joined with packed blocks on the block's key, so a unit of
-   work is one matrix product of bounded size, whatever the skew.
+4. A row then visits just those other blocks whose cell may hold something closer. Tops are
+   tested first; only the cells of a top that may hold something are looked at.
+5. Visitors are regrouped by the block they visit, in chunks of bounded size, so a block travels once for a full
+   chunk of visitors, and a unit of work is one matrix product of bounded size, whatever the skew.
 
 Only candidates that can still win leave a task; pairs are never listed. Unit vectors are
 compared by chord length (a metric; cosine distance is half its square). A zero vector
 gets a component of its own, which puts it at cosine distance 1 from everything else.
 Distances are rounded to six digits and ties go to the lower id.
+
+``approximate_knn`` is a job of its own: every row visits its ``probes`` nearest cells only. ``recall`` says what share of the
+true neighbours it found. No search chooses between the two.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gristmill.plans.joins import hot_join
-from gristmill.plans.lineage import settle
+from gristmill.plans.lineage import settle, small_side
 
 # Task functions travel whole, so executors do not need this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,21 +42,40 @@ DIGITS = 6
 # Distances this close may round to the same value, so pruning must keep them.
 SLACK = 2e-6
 # Bounds on what a task holds: pivots, and rows handled at a time.
-MAX_CELLS = 4096
+MAX_CELLS = 1 << 16
 PIVOT_BYTES = 32 << 20
 VISIT_ROWS = 1024
+CHUNK_ROWS = 16_384
+PACK_ROWS = 128
+# With more entries in reach than this many times k, a row's k-th is found first.
+MANY = 8
+# Sample rows for each cell, and rounds of moving pivots to the middle of their rows.
+PER_CELL = 4
+ROUNDS = 3
 
 
 @dataclass(frozen=True)
-class VectorIndex:
-    """Groups of equal vectors in blocks, on disk, with per-cell bounds on the driver."""
+class Tree:
+    """Two levels of pivots. Cells of top ``t`` are numbered ``first[t]`` to ``first[t + 1]``."""
 
-    members: DataFrame        # id, grp: every row and the lowest id that has its vector
-    groups: DataFrame         # grp, copies, vec, cell, block
+    tops: np.ndarray          # tops x dims
+    top_near: np.ndarray      # per top: least chord from the pivot to a group under it
+    top_far: np.ndarray       # per top: greatest
+    first: np.ndarray
     pivots: np.ndarray        # cells x dims
     near: np.ndarray          # per cell: least chord from the pivot to a group
     far: np.ndarray           # per cell: greatest
     blocks: np.ndarray        # per cell: number of blocks
+    start: np.ndarray         # per cell: number of its first block
+
+
+@dataclass(frozen=True)
+class VectorIndex:
+    """Groups of equal vectors in blocks, on disk, with the tree on the driver."""
+
+    members: DataFrame        # id, grp: every row and the lowest id that has its vector
+    groups: DataFrame         # grp, copies, vec, cell, block
+    tree: Tree
 
 
 def _slices(batches):
@@ -61,6 +84,28 @@ def _slices(batches):
             yield batch.slice(start, VISIT_ROWS)
 
 
+def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Packed vectors of one width to a 2-D array without a Python loop."""
+    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    parts = [_packed_values(c).reshape(len(c), -1) for c in chunks if len(c)]
+    return np.vstack(parts) if parts else np.zeros((0, 1))
+
+
+def _packed_values(column: pa.Array, kind: type = np.float64) -> np.ndarray:
+    """All numbers packed in a binary column, one after another."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(kind) if ends[-1] > ends[0] else np.zeros(0, kind)
+
+
+def _pack(matrix: np.ndarray) -> pa.Array:
+    """Each row of a matrix as one binary value."""
+    rows = np.ascontiguousarray(matrix)
+    width = rows.shape[1] * rows.itemsize
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
+    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """List column to a 2-D array without a Python loop."""
     if isinstance(column, pa.ChunkedArray):
@@ -69,11 +114,6 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1).astype(np.float64, copy=False)
 
 
-def _lists(matrix: np.ndarray) -> pa.Array:
-    offsets = np.arange(0, matrix.size + 1, matrix.shape[1], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
-
-
 def _chords(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 
@@ -90,7 +130,7 @@ def _unit(batches):
         zero = norm == 0
         unit = np.hstack([raw / np.where(zero, 1.0, norm), zero.astype(np.float64)])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("grp"), batch.column("copies"), _lists(unit)], ["grp", "copies", "vec"])
+            [batch.column("grp"), batch.column("copies"), _pack(unit)], ["grp", "copies", "vec"])
 
 
 def _fold_copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -110,50 +150,114 @@ def _fold_copies(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, distinct
 
 
-def build_index(df: DataFrame, cell_rows: int = 2048, block_rows: int = 4096, seed: int = 0) -> VectorIndex:
-    """Fold copies, choose pivots, place every distinct vector in a cell and block."""
+def _nearest(rows: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the nearest pivot and the chord to it, a bounded slice at a time."""
+    found, chords = [], []
+    for at in range(0, len(rows), VISIT_ROWS):
+        chord = _chords(rows[at:at + VISIT_ROWS], pivots)
+        found.append(chord.argmin(axis=1))
+        chords.append(chord[np.arange(len(chord)), found[-1]])
+    return np.concatenate([np.zeros(0, np.int64), *found]), np.concatenate([np.zeros(0), *chords])
+
+
+def _spread_pivots(rows: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """At most ``n`` unit vectors in the middle of the rows nearest to them."""
+    pivots = rows[np.sort(rng.choice(len(rows), min(n, len(rows)), replace=False))]
+    for _ in range(ROUNDS):
+        place, _ = _nearest(rows, pivots)
+        order = np.argsort(place, kind="stable")
+        names, heads = np.unique(place[order], return_index=True)
+        sums = np.add.reduceat(rows[order], heads, axis=0)
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        pivots = np.where(norm > 1e-9, sums / np.maximum(norm, 1e-9), pivots[names])
+    return pivots
+
+
+def _grow(sample: np.ndarray, cells: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """tops, first and pivots: as many cells under a top as it has of the sample."""
+    rng = np.random.default_rng(seed)
+    tops = _spread_pivots(sample, max(1, math.isqrt(cells)), rng)
+    place, _ = _nearest(sample, tops)
+    under = []
+    for t in range(len(tops)):
+        rows = sample[place == t]
+        under.append(_spread_pivots(rows, max(1, round(cells * len(rows) / len(sample))), rng) if len(rows) else tops[t:t + 1])
+    return tops, np.concatenate([[0], np.cumsum([len(u) for u in under])]), np.vstack(under)
+
+
+def build_index(df: DataFrame, cell_rows: int = 256, block_rows: int = 4096, seed: int = 0) -> VectorIndex:
+    """Fold copies, grow the tree on a sample, place every distinct vector in a cell and block."""
     members, distinct = _fold_copies(df.select("id", "embedding"))
     members = settle(members)
-    vectors = settle(distinct.mapInArrow(_unit, "grp long, copies long, vec array<double>"))
-    n, width = vectors.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(1))).first()
-    cells = 1 if n <= block_rows else math.ceil(n / max(cell_rows, math.isqrt(n)))
-    cells = max(1, min(cells, MAX_CELLS, PIVOT_BYTES // (8 * width)))
-    if cells == 1:
+    vectors = settle(distinct.mapInArrow(_unit, "grp long, copies long, vec binary"))
+    n, size = vectors.agg(F.count("*"), F.coalesce(F.max(F.octet_length("vec")), F.lit(8))).first()
+    width = size // 8
+    if n <= block_rows:
         # Any pivot will do; the cell's bounds say nothing.
-        blocks = max(1, math.ceil(n / block_rows))
-        groups = vectors.select("*", F.lit(0).alias("cell"),
-                                F.pmod(F.xxhash64("grp"), F.lit(blocks)).cast("int").alias("block"))
-        return VectorIndex(members, groups, np.zeros((1, width)), np.zeros(1), np.full(1, np.inf),
-                           np.full(1, blocks, dtype=np.int32))
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.col("grp").cast("string")))
-    pivots = _matrix(vectors.orderBy(order, "grp").limit(cells).select("vec").toArrow().column("vec"))
+        one = np.zeros((1, width))
+        tree = Tree(one, np.zeros(1), np.full(1, np.inf), np.array([0, 1]), one, np.zeros(1), np.full(1, np.inf),
+                    np.ones(1, np.int64), np.zeros(1, np.int64))
+        return VectorIndex(members, vectors.select("*", F.lit(0).alias("cell"), F.lit(0).alias("block")), tree)
+    cells = max(1, min(math.ceil(n / cell_rows), MAX_CELLS, PIVOT_BYTES // (8 * width)))
+    tops, first, pivots = _grow(_sampled(vectors, n, PER_CELL * cells, seed), cells, seed)
 
     def assign(batches):
         for batch in _slices(batches):
-            vec = _matrix(batch.column("vec"))
-            chord = _chords(vec, pivots)
-            cell = chord.argmin(axis=1)
+            vec = _vectors(batch.column("vec"))
+            top, top_chord = _nearest(vec, tops)
+            cell, chord = np.empty(len(vec), np.int32), np.empty(len(vec))
+            for t in np.unique(top):
+                rows = np.flatnonzero(top == t)
+                place, chord[rows] = _nearest(vec[rows], pivots[first[t]:first[t + 1]])
+                cell[rows] = first[t] + place
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grp"), batch.column("copies"), batch.column("vec"),
-                 pa.array(cell.astype(np.int32)), pa.array(chord[np.arange(len(cell)), cell])],
-                ["grp", "copies", "vec", "cell", "chord"])
+                [batch.column("grp"), batch.column("copies"), batch.column("vec"), pa.array(cell), pa.array(chord), pa.array(top_chord)],
+                ["grp", "copies", "vec", "cell", "chord", "top_chord"])
 
     placed = settle(vectors.mapInArrow(
-        assign, "grp long, copies long, vec array<double>, cell int, chord double"))
+        assign, "grp long, copies long, vec binary, cell int, chord double, top_chord double"))
     # One row per cell, and cells are bounded by the pivot budget.
     stats = placed.groupBy("cell").agg(
-        F.count("*").alias("n"), F.min("chord").alias("near"), F.max("chord").alias("far")).collect()
+        F.count("*").alias("n"), F.min("chord").alias("near"), F.max("chord").alias("far"),
+        F.min("top_chord").alias("top_near"), F.max("top_chord").alias("top_far")).collect()
     near, far = np.full(len(pivots), np.inf), np.full(len(pivots), -np.inf)
-    blocks = np.zeros(len(pivots), dtype=np.int32)
+    top_near, top_far = np.full(len(tops), np.inf), np.full(len(tops), -np.inf)
+    blocks = np.zeros(len(pivots), np.int64)
     for row in stats:
         near[row.cell], far[row.cell] = row.near, row.far
+        t = int(np.searchsorted(first, row.cell, "right")) - 1
+        top_near[t], top_far[t] = min(top_near[t], row.top_near), max(top_far[t], row.top_far)
         blocks[row.cell] = math.ceil(row.n / block_rows)
+    start = np.concatenate([[0], np.cumsum(blocks)[:-1]])
     per_cell = df.sparkSession.createDataFrame(
-        [(c, int(b)) for c, b in enumerate(blocks)], "cell int, blocks int")
-    block = F.pmod(F.xxhash64("grp"), F.col("blocks")).cast("int")
-    groups = placed.join(F.broadcast(per_cell), "cell").select(
-        "grp", "copies", "vec", "cell", block.alias("block"))
-    return VectorIndex(members, groups, pivots, near, far, blocks)
+        [(c, int(b), int(s)) for c, (b, s) in enumerate(zip(blocks, start)) if b], "cell int, blocks int, first int")
+    block = (F.col("first") + F.pmod(F.xxhash64("grp"), F.col("blocks"))).cast("int")
+    groups = settle(placed.join(F.broadcast(per_cell), "cell").select("grp", "copies", "vec", "cell", block.alias("block")))
+    return VectorIndex(members, groups, Tree(tops, top_near, top_far, first, pivots, near, far, blocks, start))
+
+
+def _sampled(vectors: DataFrame, n: int, wanted: int, seed: int) -> np.ndarray:
+    """About ``wanted`` vectors chosen by a hash of the group; bounded by the pivot budget."""
+    wide = 1 << 30
+    share = min(1.0, wanted / n)
+    rows = vectors.filter(F.pmod(F.xxhash64(F.lit(seed), "grp"), F.lit(wide)) < int(share * wide)) if share < 1 else vectors
+    found = rows.select("grp", "vec").toArrow()
+    if not found.num_rows:
+        found = vectors.orderBy("grp").limit(1).select("grp", "vec").toArrow()
+    return _vectors(found.sort_by("grp").column("vec"))
+
+
+def restricted(index: VectorIndex, kept: DataFrame) -> VectorIndex:
+    """The index without the rows whose id is not in ``kept``; nothing is placed again.
+
+    Tree and blocks stay as they are: the bounds hold for any part of the rows.
+    """
+    left = settle(index.members.join(kept.select("id"), "id", "left_semi"))
+    # A group that lost its lowest id is named by the lowest that stays.
+    now = settle(left.groupBy("grp").agg(F.min("id").alias("now"), F.count("*").alias("copies")))
+    members = hot_join(left, now.select("grp", "now"), ["grp"], now.select("grp", F.col("copies").alias("n")))
+    groups = index.groups.drop("copies").join(now, "grp").select(F.col("now").alias("grp"), "copies", "vec", "cell", "block")
+    return VectorIndex(settle(members.select("id", F.col("now").alias("grp"))), settle(groups), index.tree)
 
 
 def _by_cell(groups: DataFrame) -> DataFrame:
@@ -162,117 +266,203 @@ def _by_cell(groups: DataFrame) -> DataFrame:
 
 
 def _packed_blocks(index: VectorIndex) -> DataFrame:
-    """One row per block: its groups and their vectors as two arrays of bounded length."""
-    rows = index.groups.groupBy("cell", "block").agg(
-        F.collect_list(F.struct("grp", "copies", "vec")).alias("rows"))
-    return rows.select("cell", "block", F.col("rows.grp").alias("grps"),
-                       F.col("rows.copies").alias("copies"), F.flatten("rows.vec").alias("vecs"))
-
-
-def _nearest_k(distance: np.ndarray, grps: np.ndarray, k: int, limit: np.ndarray):
-    """Row and column numbers of each row's ``k`` nearest by (distance, group), within ``limit``."""
-    if distance.shape[1] > k:
-        kth = np.partition(distance, k - 1, axis=1)[:, k - 1]
-        limit = np.minimum(limit, kth)
-    rows, cols = np.nonzero(distance <= limit[:, None])
-    order = np.lexsort((grps[cols], distance[rows, cols], rows))
-    rows, cols = rows[order], cols[order]
-    starts = np.r_[0, np.cumsum(np.bincount(rows, minlength=len(distance)))][:-1]
+    """One row per block: its groups, copies and vectors, each packed."""
+    def pack(keys: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        columns = [table.column(c).to_numpy().tobytes() for c in ("grp", "copies")]
+        return pa.table({"block": pa.array([keys[0].as_py()], pa.int32()), "grps": [columns[0]], "copies": [columns[1]],
+                         "vecs": [_vectors(table.column("vec")).tobytes()]})
+
+    return index.groups.groupBy("block").applyInArrow(pack, "block int, grps binary, copies binary, vecs binary")
+
+
+def _nearest_k(sim: np.ndarray, visitors: np.ndarray, grps: np.ndarray, k: int, reach: np.ndarray):
+    """(row, column, distance) of each row's ``k`` nearest by (distance, group), within its reach and without itself.
+
+    Only entries that may still count are rounded and sorted.
+    """
+    floor = 1.0 - reach - SLACK
+    rows, cols = np.nonzero(sim >= floor[:, None])
+    if len(rows) > MANY * (k + 1) * len(sim) and sim.shape[1] > k + 1:
+        # The row itself may be among the k + 1.
+        kth = np.partition(sim, sim.shape[1] - k - 1, axis=1)[:, sim.shape[1] - k - 1]
+        rows, cols = np.nonzero(sim >= np.maximum(floor, kth - SLACK)[:, None])
+    d = np.round(np.maximum(0.0, 1.0 - sim[rows, cols]), DIGITS) + 0.0
+    real = (d <= reach[rows]) & (visitors[rows] != grps[cols])
+    rows, cols, d = rows[real], cols[real], d[real]
+    order = np.lexsort((grps[cols], d, rows))
+    rows, cols, d = rows[order], cols[order], d[order]
+    starts = np.r_[0, np.cumsum(np.bincount(rows, minlength=len(sim)))][:-1]
     keep = np.arange(len(rows)) - starts[rows] < k
-    return rows[keep], cols[keep]
+    return rows[keep], cols[keep], d[keep]
 
 
-def _visits(index: VectorIndex, include_home: bool):
-    """A mapInArrow body: which blocks may hold something within each row's limit.
+def _least_chords(chord: np.ndarray, pivots: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """A lower bound of each row's chord to anything that belongs to each pivot.
 
-    Input rows carry ``reach``, the cosine distance beyond which nothing is wanted.
-    Output rows are packed: one target block, many visitors.
+    What belongs to a pivot lies between two spheres around it, and on its side of the plane between it and the pivot
+    nearest to the row.
     """
-    pivots, near, far, blocks = index.pivots, index.near, index.far, index.blocks
+    closest = chord.argmin(axis=1)
+    own = chord[np.arange(len(chord)), closest]
+    names, place = np.unique(closest, return_inverse=True)
+    gap = _chords(pivots[names], pivots)[place]
+    plane = np.where(gap > 1e-6, (chord**2 - own[:, None]**2) / (2.0 * np.maximum(gap, 1e-6)), 0.0)
+    return np.maximum.reduce([np.zeros_like(chord), chord - far, near - chord, plane])
+
+
+def _wanted_cells(tree: Tree, vec: np.ndarray, reach: np.ndarray):
+    """(cell, rows) of every cell that may hold something within a row's reach."""
+    least = _least_chords(_chords(vec, tree.tops), tree.tops, tree.top_near, tree.top_far)
+    may = least**2 / 2.0 <= reach[:, None] + SLACK
+    for t in np.flatnonzero(may.any(axis=0)):
+        rows, inside = np.flatnonzero(may[:, t]), slice(tree.first[t], tree.first[t + 1])
+        least = _least_chords(_chords(vec[rows], tree.pivots[inside]), tree.pivots[inside], tree.near[inside], tree.far[inside])
+        open_ = (least**2 / 2.0 <= reach[rows, None] + SLACK) & (tree.blocks[inside] > 0)
+        for c in np.flatnonzero(open_.any(axis=0)):
+            yield int(tree.first[t] + c), rows[open_[:, c]]
+
+
+def _probed_cells(tree: Tree, vec: np.ndarray, probes: int, tops: int):
+    """(cell, rows): for each row its ``probes`` nearest cells under its ``tops`` nearest tops."""
+    chord = _chords(vec, tree.tops)
+    chord[:, tree.top_far < 0] = np.inf
+    chosen = np.argsort(chord, axis=1)[:, :tops]
+    cells, chords = [], []
+    for t in np.unique(chosen):
+        if np.isneginf(tree.top_far[t]):
+            continue
+        inside = np.arange(tree.first[t], tree.first[t + 1])
+        inside = inside[tree.blocks[inside] > 0]
+        found = _chords(vec, tree.pivots[inside])
+        found[~(chosen == t).any(axis=1)] = np.inf
+        cells.append(inside)
+        chords.append(found)
+    cells, chords = np.concatenate(cells), np.hstack(chords)
+    nearest = np.argsort(chords, axis=1, kind="stable")[:, :probes]
+    rows = np.repeat(np.arange(len(vec)), nearest.shape[1])
+    real = np.isfinite(chords[rows, nearest.ravel()])
+    rows, wanted = rows[real], cells[nearest.ravel()[real]]
+    for c in np.unique(wanted):
+        yield int(c), rows[wanted == c]
+
+
+def _visits(index: VectorIndex, rows: DataFrame, cells_of, include_home: bool, counts: bool = False) -> DataFrame:
+    """Which blocks each row visits: packed rows of one target block and many visitors, or just their number.
+
+    ``rows`` carries ``reach``, the cosine distance beyond which nothing is wanted.
+    """
+    tree = index.tree
+
+    def count(batches):
+        total = np.zeros(int(tree.blocks.sum()), np.int64)
+        for batch in _slices(batches):
+            home, reach = batch.column("block").to_numpy(), batch.column("reach").to_numpy(zero_copy_only=False)
+            for cell, inside in cells_of(tree, _vectors(batch.column("vec")), reach):
+                blocks = np.arange(tree.start[cell], tree.start[cell] + tree.blocks[cell])
+                total[blocks] += len(inside)
+                if not include_home:
+                    at_home = home[inside] - tree.start[cell]
+                    np.subtract.at(total, blocks[at_home[(at_home >= 0) & (at_home < len(blocks))]], 1)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(total[seen])], ["block", "n"])
 
     def body(batches):
         for batch in _slices(batches):
-            grp = batch.column("grp").to_numpy()
-            vec = _matrix(batch.column("vec"))
-            home, home_block = batch.column("cell").to_numpy(), batch.column("block").to_numpy()
+            grp, home = batch.column("grp").to_numpy(), batch.column("block").to_numpy()
+            vec = _vectors(batch.column("vec"))
             reach = batch.column("reach").to_numpy(zero_copy_only=False)
-            chord = _chords(vec, pivots)
-            own = chord[np.arange(len(grp)), home]
-            cells, place = np.unique(home, return_inverse=True)
-            gap = _chords(pivots[cells], pivots)[place]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = np.where(gap > 0, (chord**2 - own[:, None]**2) / (2.0 * gap), 0.0)
-            least = np.maximum.reduce([np.zeros_like(chord), chord - far, near - chord, plane])
-            open_ = (least**2 / 2.0 <= reach[:, None] + SLACK) & (blocks > 0)
-            for cell in np.flatnonzero(open_.any(axis=0)):
-                inside = np.flatnonzero(open_[:, cell])
-                for block in range(blocks[cell]):
-                    rows = inside
-                    if not include_home:
-                        rows = inside[(home[inside] != cell) | (home_block[inside] != block)]
-                    for start in range(0, len(rows), VISIT_ROWS):
-                        part = rows[start:start + VISIT_ROWS]
-                        yield pa.RecordBatch.from_pydict({
-                            "cell": pa.array([cell], pa.int32()), "block": pa.array([block], pa.int32()),
-                            "visitors": pa.array([grp[part]], pa.list_(pa.int64())),
-                            "reach": pa.array([reach[part]], pa.list_(pa.float64())),
-                            "visitor_vecs": pa.array([vec[part].ravel()], pa.list_(pa.float64()))})
-    return body
-
-
-_VISIT_SCHEMA = ("cell int, block int, visitors array<long>, reach array<double>, "
-                 "visitor_vecs array<double>")
-
-
-def _list_at(batch, name, i):
-    return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
+            for cell, inside in cells_of(tree, vec, reach):
+                out = []
+                for block in range(tree.start[cell], tree.start[cell] + tree.blocks[cell]):
+                    part = inside if include_home else inside[home[inside] != block]
+                    out += [(block, grp[p].tobytes(), reach[p].tobytes(), vec[p].tobytes())
+                            for p in (part[at:at + PACK_ROWS] for at in range(0, len(part), PACK_ROWS))]
+                if out:
+                    blocks, *packed = zip(*out)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(blocks, pa.int32()), *(pa.array(v, pa.binary()) for v in packed)], ["block", "visitors", "reach", "vecs"])
+
+    if counts:
+        return _by_cell(rows).mapInArrow(count, "block int, n long")
+    return _by_cell(rows).mapInArrow(body, "block int, visitors binary, reach binary, vecs binary")
+
+
+def _meet(index: VectorIndex, rows: DataFrame, cells_of, include_home: bool, solve, schema: str) -> DataFrame:
+    """Apply ``solve(visitors, reach, vecs, grps, copies, block_vecs)`` to each block and chunk of its visitors.
+
+    A block travels once per chunk of about ``CHUNK_ROWS`` visitors. The chunks of a block
+    that very many rows visit are dealt over as many tasks. For that the visits are counted first and
+    made again, which costs little beside the products and spares writing the visitors down.
+    """
+    counts = _visits(index, rows, cells_of, include_home, counts=True).groupBy("block") \
+        .agg(F.ceil(F.sum("n") / CHUNK_ROWS).cast("int").alias("chunks")).filter("chunks > 0")
+    sizes = small_side(settle(counts), 300_000)
+    visits = _visits(index, rows, cells_of, include_home)
+    chunk = F.pmod(F.xxhash64("visitors"), F.col("chunks")).cast("int").alias("chunk")
+    dealt = visits.join(sizes, "block").select("block", chunk, "visitors", "reach", "vecs")
+    blocks = _packed_blocks(index).join(sizes, "block").select(
+        "block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "grps", "copies", "vecs")
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(keys: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:  # a block that holds nothing any more
+            return pa.table({n: pa.array([], pa.float64() if n == "d" else pa.int64()) for n in names})
+        visitors, reach, vecs = (
+            np.frombuffer(b"".join(left.column(c).to_pylist()), kind)
+            for c, kind in (("visitors", np.int64), ("reach", np.float64), ("vecs", np.float64)))
+        grps, copies, block = (np.frombuffer(right.column(c)[0].as_py(), kind) for c, kind in (
+            ("grps", np.int64), ("copies", np.int64), ("vecs", np.float64)))
+        vecs, block = vecs.reshape(len(visitors), -1), block.reshape(len(grps), -1)
+        parts = [solve(visitors[at:at + VISIT_ROWS], reach[at:at + VISIT_ROWS], vecs[at:at + VISIT_ROWS], grps, copies, block)
+                 for at in range(0, len(visitors), VISIT_ROWS)]
+        return pa.table({n: np.concatenate([p[j] for p in parts]) for j, n in enumerate(names)})
+
+    return dealt.groupBy("block", "chunk").cogroup(blocks.groupBy("block", "chunk")).applyInArrow(run, schema)
+
+
+def _solver(k: int):
+    """The nearest ``k`` of a block for each visitor, within its reach and without itself."""
+    def solve(visitors, reach, vecs, grps, copies, block):
+        rows, cols, d = _nearest_k(vecs @ block.T, visitors, grps, k, reach)
+        return visitors[rows], grps[cols], d
+    return solve
+
+
+_PAIRS = "grp long, other long, d double"
 
 
 def _candidates(index: VectorIndex, k: int) -> DataFrame:
-    """(grp, other, d): for each group, a superset of its ``k`` nearest other groups."""
+    """(grp, other, d): the ``k`` nearest other groups of each group."""
 
     def solve_block(table):
-        grp, vec = table.column("grp").to_numpy(), _matrix(table.column("vec"))
+        grp, vec = table.column("grp").to_numpy(), _vectors(table.column("vec"))
         parts = []
-        for start in range(0, len(grp), VISIT_ROWS):
-            d = _cosine(vec[start:start + VISIT_ROWS], vec)
-            d[np.arange(len(d)), start + np.arange(len(d))] = np.inf
-            limit = np.full(len(d), np.finfo(np.float64).max)
-            rows, cols = _nearest_k(d, grp, k, limit)
-            parts.append((grp[start + rows], grp[cols], d[rows, cols]))
-        return pa.table({
-            "grp": np.concatenate([p[0] for p in parts]),
-            "other": np.concatenate([p[1] for p in parts]),
-            "d": np.concatenate([p[2] for p in parts])})
-
-    near_home = index.groups.groupBy("cell", "block").applyInArrow(
-        solve_block, "grp long, other long, d double")
-    if int(index.blocks.sum()) <= 1:
+        for at in range(0, len(grp), VISIT_ROWS):
+            mine, everywhere = grp[at:at + VISIT_ROWS], np.full(len(grp[at:at + VISIT_ROWS]), 2.0)
+            rows, cols, d = _nearest_k(vec[at:at + VISIT_ROWS] @ vec.T, mine, grp, k, everywhere)
+            parts.append((mine[rows], grp[cols], d))
+        return pa.table({n: np.concatenate([p[j] for p in parts]) for j, n in enumerate(("grp", "other", "d"))})
+
+    near_home = index.groups.groupBy("block").applyInArrow(solve_block, _PAIRS)
+    if int(index.tree.blocks.sum()) <= 1:
         return near_home
 
     near_home = settle(near_home)
     # With fewer than k neighbours at home there is no bound yet: reach is the full range.
     reach = near_home.groupBy("grp").agg(
         F.when(F.count("*") >= k, F.max("d")).otherwise(F.lit(2.0)).alias("reach"))
-    visits = _by_cell(index.groups.join(reach, "grp", "left").select(
+    rows = index.groups.join(reach, "grp", "left").select(
         "grp", "vec", "cell", "block", F.coalesce("reach", F.lit(2.0)).alias("reach"))
-    ).mapInArrow(_visits(index, include_home=False), _VISIT_SCHEMA)
-
-    def solve_visits(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                visitors, grps = _list_at(batch, "visitors", i), _list_at(batch, "grps", i)
-                a = _list_at(batch, "visitor_vecs", i).reshape(len(visitors), -1)
-                b = _list_at(batch, "vecs", i).reshape(len(grps), -1)
-                d = _cosine(a, b)
-                rows, cols = _nearest_k(d, grps, k, _list_at(batch, "reach", i))
-                yield pa.RecordBatch.from_pydict(
-                    {"grp": visitors[rows], "other": grps[cols], "d": d[rows, cols]})
-
-    abroad = visits.join(_packed_blocks(index), ["cell", "block"]).mapInArrow(
-        solve_visits, "grp long, other long, d double")
+    rows = settle(rows)
+    abroad = _meet(index, rows, _wanted_cells, False, _solver(k), _PAIRS)
+    return _best(near_home.unionByName(abroad), k)
+
+
+def _best(candidates: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest of each group's candidates."""
     best = F.row_number().over(Window.partitionBy("grp").orderBy("d", "other"))
-    return near_home.unionByName(abroad).withColumn("rank", best).filter(F.col("rank") <= k).drop("rank")
+    return candidates.withColumn("rank", best).filter(F.col("rank") <= k).drop("rank")
 
 
 def _copies(index: VectorIndex) -> DataFrame:
@@ -282,12 +472,42 @@ def _copies(index: VectorIndex) -> DataFrame:
 def knn(index: VectorIndex, k: int = 10) -> DataFrame:
     """(id, neighbours): the ``k`` nearest other rows of every row as an ordered array of
     (d, id), by rounded distance, then id."""
+    return _neighbour_lists(index, _candidates(index, k), k)
+
+
+def approximate_knn(index: VectorIndex, k: int = 10, probes: int = 8, tops: int = 3) -> DataFrame:
+    """As ``knn`` among the rows of each row's ``probes`` nearest cells, under its ``tops`` nearest tops.
+
+    One pass whose work grows with the rows, whatever the data; ``recall`` measures what it misses.
+    """
+    if probes < 1 or tops < 1:
+        raise ValueError("at least one cell must be probed")
+    rows = index.groups.select("grp", "vec", "cell", "block", F.lit(2.0).alias("reach"))
+    cells_of = lambda tree, vec, reach: _probed_cells(tree, vec, probes, tops)
+    found = _meet(index, rows, cells_of, True, _solver(k), _PAIRS)
+    return _neighbour_lists(index, _best(found, k), k)
+
+
+def recall(found: DataFrame, truth: DataFrame) -> DataFrame:
+    """One row: neighbours in ``truth``, those among them that ``found`` has at no greater distance, and their share.
+
+    Rows at equal distance stand for each other, so a tie at the end of a list is no miss.
+    """
+    nearest = found.select("id", F.col("neighbours").alias("got"))
+    within = F.filter("got", lambda x: x["d"] <= F.array_max(F.transform("neighbours", lambda y: y["d"])))
+    return truth.join(nearest, "id", "left").agg(
+        F.sum(F.size("neighbours")).alias("wanted"),
+        F.sum(F.when(F.size("neighbours") > 0, F.coalesce(F.size(within), F.lit(0))).otherwise(0)).alias("found")
+    ).withColumn("recall", F.try_divide("found", "wanted"))
+
+
+def _neighbour_lists(index: VectorIndex, candidates: DataFrame, k: int) -> DataFrame:
     # The k + 1 lowest ids of each group: enough to fill a list after leaving out the row itself.
     lowest = F.row_number().over(Window.partitionBy("grp").orderBy("id"))
     heads = index.members.withColumn("rank", lowest).filter(F.col("rank") <= k + 1) \
         .groupBy("grp").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     own = index.groups.select("grp", F.col("grp").alias("other"), F.lit(0.0).alias("d"))
-    wanted = settle(own.unionByName(_candidates(index, k)))
+    wanted = settle(own.unionByName(candidates))
     # A vector in the middle of many others is wanted by all of them.
     wanted_by = wanted.groupBy("other").agg(F.count("*").alias("n"))
     members_of = hot_join(wanted, heads.withColumnRenamed("grp", "other"), ["other"], wanted_by, deal_by="grp")
@@ -306,24 +526,15 @@ def within(index: VectorIndex, radius: float) -> DataFrame:
     Counts and minima are folded inside each task, so the number of close pairs does not
     matter.
     """
-    visits = _by_cell(index.groups.select("grp", "vec", "cell", "block", F.lit(float(radius)).alias("reach"))) \
-        .mapInArrow(_visits(index, include_home=True), _VISIT_SCHEMA)
-
-    def fold(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                visitors, grps = _list_at(batch, "visitors", i), _list_at(batch, "grps", i)
-                a = _list_at(batch, "visitor_vecs", i).reshape(len(visitors), -1)
-                b = _list_at(batch, "vecs", i).reshape(len(grps), -1)
-                close = (_cosine(a, b) <= radius) & (visitors[:, None] != grps[None, :])
-                found = close.any(axis=1)
-                rows = close @ _list_at(batch, "copies", i)
-                first = np.where(close, grps[None, :], np.iinfo(np.int64).max).min(axis=1)
-                yield pa.RecordBatch.from_pydict(
-                    {"grp": visitors[found], "rows": rows[found], "first": first[found]})
-
-    folded = visits.join(_packed_blocks(index), ["cell", "block"]) \
-        .mapInArrow(fold, "grp long, rows long, first long") \
+    rows = index.groups.select("grp", "vec", "cell", "block", F.lit(float(radius)).alias("reach"))
+
+    def fold(visitors, reach, vecs, grps, copies, block):
+        close = (_cosine(vecs, block) <= radius) & (visitors[:, None] != grps[None, :])
+        found = close.any(axis=1)
+        first = np.where(close, grps[None, :], np.iinfo(np.int64).max).min(axis=1)
+        return visitors[found], (close @ copies)[found], first[found]
+
+    folded = _meet(index, rows, _wanted_cells, True, fold, "grp long, rows long, first long") \
         .groupBy("grp").agg(F.sum("rows").alias("rows"), F.min("first").alias("first"))
     around = index.groups.select("grp", "copies").join(folded, "grp", "left")
     others = F.col("copies") - 1 + F.coalesce("rows", F.lit(0))

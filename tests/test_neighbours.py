@@ -27,6 +27,7 @@ def shapes():
 def test_exact(spark, monkeypatch, shape, cell_rows, block_rows):
     if block_rows == 12:
         monkeypatch.setattr(joins, "HOT_ROWS", 20)
+        monkeypatch.setattr(nb, "CHUNK_ROWS", 25)
     raw = shapes()[shape]
     ids = np.random.default_rng(0).permutation(len(raw) * 3)[:len(raw)]
     df = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, raw)],
@@ -34,7 +35,7 @@ def test_exact(spark, monkeypatch, shape, cell_rows, block_rows):
     distance = brute(ids, raw)
     index = nb.build_index(df, cell_rows, block_rows)
     if block_rows == 12:
-        assert index.blocks.sum() > 5
+        assert index.tree.blocks.sum() > 5
 
     k = 5
     got = {r.id: [(n.d, n.id) for n in r.neighbours] for r in nb.knn(index, k).collect()}
@@ -49,6 +50,54 @@ def test_exact(spark, monkeypatch, shape, cell_rows, block_rows):
         assert around[i] == (len(near), min(near, default=None))
 
 
+def clustered(spark, n=3_000, dims=12, seed=8):
+    rng = np.random.default_rng(seed)
+    raw = rng.normal(size=(40, dims))[rng.integers(0, 40, n)] + 0.15 * rng.normal(size=(n, dims))
+    return raw, spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(raw)], "id long, embedding array<double>")
+
+
+def test_many_tops_and_a_part_of_the_rows(spark):
+    raw, df = clustered(spark)
+    index = nb.build_index(df, cell_rows=20, block_rows=16)
+    assert len(index.tree.tops) > 8 and len(index.tree.pivots) > 100
+    distance = brute(range(len(raw)), raw)
+
+    def check(index, rows):
+        got = {r.id: [(n.d, n.id) for n in r.neighbours] for r in nb.knn(index, 6).collect()}
+        assert sorted(got) == rows
+        for i in rows[::7]:
+            assert got[i] == sorted((distance[i, j], j) for j in rows if j != i)[:6]
+
+    check(index, list(range(len(raw))))
+    # Two parts of the rows, the second of the first, without building an index again.
+    some = nb.restricted(index, df.filter("id % 3 <> 0"))
+    check(some, [i for i in range(len(raw)) if i % 3])
+    check(nb.restricted(some, df.filter("id < 1000")), [i for i in range(1000) if i % 3])
+
+
+def test_restricted_groups_take_a_new_name(spark):
+    df = spark.createDataFrame([(i, [1.0, 0.0] if i < 5 else [0.0, 1.0 + i]) for i in range(8)], "id long, embedding array<double>")
+    index = nb.restricted(nb.build_index(df), df.filter("id > 1"))
+    assert {(r.id, r.grp) for r in index.members.collect()} == {(2, 2), (3, 2), (4, 2), (5, 5), (6, 6), (7, 7)}
+    assert {(r.grp, r.copies) for r in index.groups.collect()} == {(2, 3), (5, 1), (6, 1), (7, 1)}
+    gone = nb.restricted(index, df.filter("id < 0"))
+    assert nb.knn(gone, 3).collect() == [] and nb.within(gone, 0.1).collect() == []
+
+
+def test_probing_misses_little_and_everything_is_exact(spark):
+    raw, df = clustered(spark)
+    index = nb.build_index(df, cell_rows=50, block_rows=64)
+    truth = settle(nb.knn(index, 6))
+    some = nb.recall(nb.approximate_knn(index, 6, probes=6), truth).first()
+    assert some.wanted == 6 * len(raw) and 0.9 <= some.recall <= 1.0
+    few = nb.recall(nb.approximate_knn(index, 6, probes=1, tops=1), truth).first()
+    assert few.recall < some.recall
+    every = nb.approximate_knn(index, 6, probes=10_000, tops=10_000)
+    assert sorted(map(str, every.collect())) == sorted(map(str, truth.collect()))
+    with pytest.raises(ValueError):
+        nb.approximate_knn(index, 6, probes=0)
+
+
 def test_single_row_and_small_tables(spark):
     one = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embedding array<double>")
     assert nb.knn(nb.build_index(one), 3).first().neighbours == []
