@@ -6,13 +6,14 @@ are tied by learned transitions. Forward-backward gives each word's probabilitie
 line switches language. A text's language has the largest sum over its words, its score is that
 sum's share.
 
-It learns from lines of labelled documents outside the held-out fold: about ``lines_per_language``
-lines, chosen by hash, for each language, and lines joined from two languages
+It learns from lines of labelled documents outside the held-out fold: at most ``lines_per_language``
+lines, chosen by hash, for each language, ``LINES`` in all, and lines joined from two languages
 to learn switches. A line of over ``LINE_BYTES`` bytes counts as several: it is cut at word bounds, and a longer word
-between characters. That sample is the only data that reaches the driver.
+between characters. Equal lines count once. The fit runs in one task, whose input that bound limits; the driver gets the model.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is everything where no
-labelled text exists. Chains end at line breaks and after ``CHAIN`` words. Rows are told apart
+labelled text exists. Chains end at line breaks; of a line of over ``CHAIN`` words
+each part is judged with ``CONTEXT`` words around it. Rows are told apart
 by row; extra columns are ignored by ``identify`` and returned by ``keep_known``.
 """
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from gristmill.llm.common import dealt, held_out, ship, with_row
 from gristmill.llm.wordscan import Words, byte_values, chunks, letter_bytes, mixed
+from gristmill.plans.lineage import small_side
 
 ship(__name__)
 
@@ -38,7 +41,10 @@ LINES_PER_LANGUAGE = 1_000
 LINE_BYTES = 1_000
 TABLE = 1 << 17
 CHAIN = 64
+CONTEXT = 32           # words read on both sides of a part of a long line
 TRAIN_CHAIN = 30
+LINES = 8_000          # of all languages together
+FIT_BYTES = 1 << 17
 AFFIXES = (2, 3, 4)
 LEAST_SCORE = 0.5
 SIGN = 1 << 63         # makes a hash a signed number
@@ -129,95 +135,125 @@ def forward_backward(scores: np.ndarray, starts: np.ndarray, lengths: np.ndarray
         at = starts[:alive[t + 1]] + t
         b = (behind[at + 1] * e[at + 1]) @ m.T
         if pairs:
-            joint = ahead[at][:, :, None] * m[None] * (behind[at + 1] * e[at + 1])[:, None, :]
-            expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            after = behind[at + 1] * e[at + 1]
+            mass = ((ahead[at] @ m) * after).sum(axis=1, keepdims=True)
+            expected += m * ((ahead[at] / mass).T @ after)
         behind[at] = b / b.sum(axis=1, keepdims=True)
     both = ahead * behind
     return both / both.sum(axis=1, keepdims=True), expected
 
 
-def chains_of(line: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of chains, longest first: words of one line, ``longest`` at most."""
+def chains_of(line: np.ndarray, longest: int, context: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Chains of the words of one line each, longest first: the words they read, starts, lengths, and which of these words they judge.
+
+    A line of over ``longest`` words is judged in parts; each part also reads ``context`` words on both sides.
+    """
     n = len(line)
     fresh = np.ones(n, bool)
     fresh[1:] = line[1:] != line[:-1]
     heads = np.flatnonzero(fresh)
     sizes = np.diff(np.append(heads, n))
     parts = -(-sizes // longest)
-    jump = np.arange(int(parts.sum())) - np.repeat(np.concatenate([[0], np.cumsum(parts)[:-1]]), parts)
-    starts = np.repeat(heads, parts) + jump * longest
-    lengths = np.minimum(np.repeat(sizes, parts) - jump * longest, longest)
-    order = np.argsort(-lengths, kind="stable")
-    return starts[order], lengths[order]
+    jump = (np.arange(int(parts.sum())) - np.repeat(np.concatenate([[0], np.cumsum(parts)[:-1]]), parts)) * longest
+    size, head = np.repeat(sizes, parts), np.repeat(heads, parts)
+    low, high = np.maximum(jump - context, 0), np.minimum(jump + longest + context, size)
+    order = np.argsort(low - high, kind="stable")
+    low, high, jump, head, size = low[order], high[order], jump[order], head[order], size[order]
+    lengths = high - low
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+    place = np.arange(int(lengths.sum())) - np.repeat(starts - low, lengths)
+    judged = (place >= np.repeat(jump, lengths)) & (place < np.repeat(np.minimum(jump + longest, size), lengths))
+    return place + np.repeat(head, lengths), starts, lengths, judged
+
+
+class Block:
+    """Training chains of some lines: the features of their words, chains and true languages."""
+
+    def __init__(self, lines: list[tuple[int, bytes]], values: np.ndarray, k: int):
+        scan = Words([text for _, text in lines], values)
+        label = np.array([lang for lang, _ in lines])
+        bounds = np.searchsorted(scan.text, np.arange(len(lines) + 1))
+        whole = [np.arange(low, high) for low, high in zip(bounds[:-1], bounds[1:])]
+        chains = [(at[i:i + TRAIN_CHAIN], lang) for at, lang in zip(whole, label) for i in range(0, len(at), TRAIN_CHAIN)]
+        half = TRAIN_CHAIN // 2
+        ids, truths = [c[0] for c in chains], [np.full(len(c[0]), c[1]) for c in chains]
+        for (at, first), (other, second) in zip(chains, chains[1:] + chains[:1]):
+            if first != second:  # a line that switches language
+                ids.append(np.concatenate([at[:half], other[:half]]))
+                truths.append(np.repeat([first, second], [min(half, len(at)), min(half, len(other))]))
+        order = sorted(range(len(ids)), key=lambda c: -len(ids[c]))
+        self.lengths = np.array([len(ids[c]) for c in order], np.int64)
+        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]]).astype(np.int64)
+        word = np.concatenate([np.zeros(0, np.int64), *(ids[c] for c in order)])
+        truth = np.concatenate([np.zeros(0, np.int64), *(truths[c] for c in order)])
+        _, kept, back = np.unique(scan.hashes, return_index=True, return_inverse=True)
+        trigrams, heads, fixed = word_features(lowered(scan.buffer), scan.starts[kept], scan.ends[kept])
+        self.used, compact = np.unique(np.concatenate([trigrams, fixed.ravel()]), return_inverse=True)
+        compact = compact.astype(np.int32)
+        self.trigrams, self.fixed = compact[:len(trigrams)], compact[len(trigrams):].reshape(fixed.shape)
+        self.heads, self.kept = heads.astype(np.int32), len(kept)
+        self.unique, self.truth, self.words = back[word].astype(np.int32), truth.astype(np.int16), len(word)
+        inside = np.ones(len(word), bool)
+        inside[self.starts[self.lengths > 0]] = False
+        self.moved = np.zeros((k, k))
+        np.add.at(self.moved, (truth[np.flatnonzero(inside) - 1], truth[inside]), 1)
+        self.begun = np.bincount(truth[self.starts], minlength=k) if len(word) else np.zeros(k)
+
+    def add_slopes(self, params: list[np.ndarray], slopes: list[np.ndarray]) -> None:
+        """Add the gradient of the negative log likelihood."""
+        if not self.words:
+            return
+        scores = evidence(params[0][self.used], (self.trigrams, self.heads, self.fixed)).astype(np.float64)
+        found, expected = forward_backward(scores[self.unique], self.starts, self.lengths, params[1], params[2], pairs=True)
+        owner = np.repeat(np.arange(self.kept), np.diff(np.append(self.heads, len(self.trigrams))))
+        for c in range(found.shape[1]):
+            gap = np.bincount(self.unique, found[:, c] - (self.truth == c), minlength=self.kept)
+            slope = np.bincount(self.trigrams, gap[owner], minlength=len(self.used))
+            for j in range(self.fixed.shape[1]):
+                slope += np.bincount(self.fixed[:, j], gap, minlength=len(self.used))
+            slopes[0][self.used, c] += slope
+        slopes[1] += expected - self.moved
+        slopes[2] += found[self.starts].sum(axis=0) - self.begun
 
 
 def fit(lines: list[tuple[str, bytes]], rounds: int = 40, rate: float = 0.25, penalty: float = 1e-6, seed: int = 0) -> Model:
-    """Maximum likelihood by Adam over all sampled chains."""
+    """Maximum likelihood by Adam; each round adds the gradients of blocks of lines.
+
+    Every word of a line is learned from: a line is cut into chains of ``TRAIN_CHAIN`` words. Memory holds the features of the lines
+    and, per language, a few numbers per slot; what a block needs while it is worked on is bounded.
+    """
     languages = sorted({lang for lang, _ in lines})
-    number = {lang: k for k, lang in enumerate(languages)}
-    rng = np.random.default_rng(seed)
-    values = byte_values(letter_bytes())
-    scan = Words([text for _, text in lines], values)
-    label_of_line = np.array([number[lang] for lang, _ in lines])
-    ids, labels = [], []
-    bounds = np.searchsorted(scan.text, np.arange(len(lines) + 1))
-    pieces = [(np.arange(low, min(high, low + TRAIN_CHAIN)), label)
-              for low, high, label in zip(bounds[:-1], bounds[1:], label_of_line) if high > low]
-    order = rng.permutation(len(pieces))
-    half = TRAIN_CHAIN // 2
-    for i, j in zip(order, np.roll(order, 1)):
-        at, label = pieces[i]
-        ids.append(at)
-        labels.append(np.full(len(at), label))
-        other, second = pieces[j]
-        if second != label:  # a line that switches language
-            ids.append(np.concatenate([at[:half], other[:half]]))
-            labels.append(np.repeat([label, second], [min(half, len(at)), min(half, len(other))]))
-    k = len(languages)
-    model = Model(languages, np.zeros((TABLE, k), np.float32), np.zeros((k, k)), np.zeros(k))
-    if not ids:
-        return model
-    by_length = sorted(range(len(ids)), key=lambda c: -len(ids[c]))
-    lengths = np.array([len(ids[c]) for c in by_length])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    word, truth = np.concatenate([ids[c] for c in by_length]), np.concatenate([labels[c] for c in by_length])
-    _, kept, back = np.unique(scan.hashes, return_index=True, return_inverse=True)
-    features = word_features(lowered(scan.buffer), scan.starts[kept], scan.ends[kept])
-    trigrams, heads, fixed = features
-    owner = np.repeat(np.arange(len(kept)), np.diff(np.append(heads, len(trigrams))))
-    unique = back[word]
-    seen = np.zeros((len(kept), k))
-    np.add.at(seen, (unique, truth), 1)
-    inside = np.ones(len(word), bool)
-    inside[starts] = False
-    moved = np.zeros((k, k))
-    np.add.at(moved, (truth[np.flatnonzero(inside) - 1], truth[inside]), 1)
-    begun = np.bincount(truth[starts], minlength=k)
-    used, compact = np.unique(np.concatenate([trigrams, fixed.ravel()]), return_inverse=True)
-    trigrams, fixed = compact[:len(trigrams)], compact[len(trigrams):].reshape(fixed.shape)
-    params = [np.zeros((len(used), k)), np.zeros((k, k)), np.zeros(k)]
-    mean, square = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
+    number = {lang: c for c, lang in enumerate(languages)}
+    k, values = len(languages), byte_values(letter_bytes())
+    mixed_up = [(number[lines[i][0]], lines[i][1]) for i in np.random.default_rng(seed).permutation(len(lines))]
+    blocks, taken, size = [], [], 0
+    for line in mixed_up:
+        taken.append(line)
+        size += len(line[1])
+        if size >= FIT_BYTES:
+            blocks.append(Block(taken, values, k))
+            taken, size = [], 0
+    if taken:
+        blocks.append(Block(taken, values, k))
+    params = [np.zeros((TABLE, k), np.float32), np.zeros((k, k)), np.zeros(k)]
+    total = sum(b.words for b in blocks)
+    if not total:
+        return Model(languages, *params)
+    mean, square, slopes = ([np.zeros_like(p) for p in params] for _ in range(3))
     for step in range(1, rounds + 1):
-        scores = evidence(params[0], (trigrams, heads, fixed))
-        found, expected = forward_backward(scores[unique], starts, lengths, params[1], params[2], pairs=True)
-        gap = np.empty_like(seen)
-        for c in range(k):
-            gap[:, c] = np.bincount(unique, found[:, c], minlength=len(kept)) - seen[:, c]
-        slope = np.empty_like(params[0])
-        for c in range(k):
-            slope[:, c] = np.bincount(trigrams, gap[owner, c], minlength=len(used))
-            for j in range(fixed.shape[1]):
-                slope[:, c] += np.bincount(fixed[:, j], gap[:, c], minlength=len(used))
-        slopes = [slope, expected - moved, found[starts].sum(axis=0) - begun]
+        for g in slopes:
+            g[...] = 0
+        for block in blocks:
+            block.add_slopes(params, slopes)
         for p, g, m, s in zip(params, slopes, mean, square):
-            g = g / len(word) + penalty * p
-            m *= 0.9
-            m += 0.1 * g
-            s *= 0.99
-            s += 0.01 * g * g
-            p -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
-    model.weights[used] = params[0]
-    return Model(languages, model.weights, params[1], params[2])
+            g /= total
+            g += penalty * p
+            m += 0.1 * (g - m)
+            g *= g
+            s += 0.01 * (g - s)
+            g[...] = np.sqrt(s / (1 - 0.99 ** step)) + 1e-8
+            p -= rate / (1 - 0.9 ** step) * m / g
+    return Model(languages, *params)
 
 
 def pieces(line: bytes, most: int) -> Iterator[bytes]:
@@ -236,16 +272,15 @@ def pieces(line: bytes, most: int) -> Iterator[bytes]:
     yield line[start:]
 
 
-def training_lines(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list[tuple[str, bytes]]:
-    """The bounded sample: hashed lines of labelled documents outside the held-out fold."""
+def sampled_lines(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
+    """h, lang and line: hashed lines of labelled documents outside the held-out fold, about two of each sampled document."""
     docs = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
-    # One row per language.
-    counts = docs.groupBy(lang_col).agg(F.count("*").alias("__n"))
+    counts = small_side(docs.groupBy(lang_col).agg(F.count("*").alias("__n")))
     wide = 1 << 30
-    # A tenth of the wanted lines as documents, and of each of these about ten lines.
+    # As many documents as lines are wanted: equal lines are folded later.
     chance = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("__n")) * wide
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col)) \
-        .join(F.broadcast(counts), lang_col) \
+        .join(counts, lang_col) \
         .filter(F.pmod(F.xxhash64(F.lit(8), F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(wide)) < chance)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,28 +295,54 @@ def training_lines(docs: DataFrame, id_col: str, text_col: str, lang_col: str, p
                 [pa.array(h, pa.int64()), pa.array(lang, pa.string()), pa.array(x, pa.binary())],
                 ["h", "lang", "line"])
 
-    found = picked.select(F.col(lang_col).cast("string").alias("lang"), F.col("text").cast("binary").alias("text")) \
+    return picked.select(F.col(lang_col).cast("string").alias("lang"), F.col("text").cast("binary").alias("text")) \
         .mapInArrow(run, "h long, lang string, line binary")
-    table = found.toArrow()  # about two lines for each picked document
-    rows = sorted(zip(table.column("h").to_pylist(), table.column("lang").to_pylist(), table.column("line").to_pylist()))
+
+
+def chosen_lines(rows: list[tuple[int, str, bytes]], per_language: int, most: int = LINES) -> list[tuple[str, bytes]]:
+    """The first lines of each language by hash, equal ones once; fewer of each where ``most`` would be passed."""
+    rows = sorted(set(rows))
+    share = max(1, min(per_language, most // max(1, len({lang for _, lang, _ in rows}))))
     taken: dict[str, int] = {}
     out = []
     for _, lang, line in rows:
-        if taken.get(lang, 0) < per_language:
+        if taken.get(lang, 0) < share:
             taken[lang] = taken.get(lang, 0) + 1
             out.append((lang, line))
     return out
 
 
+def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          lines_per_language: int = LINES_PER_LANGUAGE) -> Model:
+    """Fit on the bounded sample, in one task; the driver gets the model only."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("h", "lang", "line")))]
+        model = fit(chosen_lines(rows, lines_per_language))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([model.languages], pa.list_(pa.string())),
+             *(pa.array([p.tobytes()], pa.binary()) for p in (model.weights, model.moves, model.first))],
+            ["languages", "weights", "moves", "first"])
+
+    # At most about two lines for each wanted one.
+    found = sampled_lines(docs, id_col, text_col, lang_col, lines_per_language).repartition(1) \
+        .mapInArrow(run, "languages array<string>, weights binary, moves binary, first binary").collect()
+    if not found:
+        return Model([], np.zeros((TABLE, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
+    k = len(found[0].languages)
+    return Model(found[0].languages, np.frombuffer(found[0].weights, np.float32).reshape(TABLE, k),
+                 np.frombuffer(found[0].moves).reshape(k, k), np.frombuffer(found[0].first))
+
+
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: row, id, check (hash of its text), lang_pred, score, sure (mean of each word's highest probability)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain lists and arrays: workers need not know this package's classes.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.weights, model.moves, model.first))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        languages, weights, moves, begin = shared.value
         values = byte_values(letter_bytes())
-        k = len(m.languages)
-        names = np.array([*m.languages, UNKNOWN], object)
+        k = len(languages)
+        names = np.array([*languages, UNKNOWN], object)
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
             best, share, sure = np.full(len(texts), k), np.zeros(len(texts)), np.zeros(len(texts))
@@ -291,10 +352,12 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     continue
                 _, kept, back = np.unique(scan.hashes, return_index=True, return_inverse=True)
                 low = lowered(scan.buffer)
-                scores = evidence(m.weights, word_features(low, scan.starts[kept], scan.ends[kept])).astype(np.float64)
+                scores = evidence(weights, word_features(low, scan.starts[kept], scan.ends[kept])).astype(np.float64)
                 breaks = np.flatnonzero(scan.buffer == 10)
-                starts, lengths = chains_of(np.searchsorted(breaks, scan.starts), CHAIN)
-                found, _ = forward_backward(scores[back], starts, lengths, m.moves, m.first)
+                at, starts, lengths, judged = chains_of(np.searchsorted(breaks, scan.starts), CHAIN, CONTEXT)
+                each, _ = forward_backward(scores[back[at]], starts, lengths, moves, begin)
+                found = np.empty((len(scan.starts), k))
+                found[at[judged]] = each[judged]
                 heads = np.flatnonzero(np.diff(scan.text, prepend=-1))
                 sums = np.add.reduceat(found, heads, axis=0)
                 at = scan.text[heads]
@@ -320,14 +383,20 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              lines_per_language: int = LINES_PER_LANGUAGE) -> DataFrame:
     """Learn from the labelled documents, then predict every document."""
-    model = fit(training_lines(docs, id_col, text_col, lang_col, lines_per_language))
-    return predict(docs, model, id_col, text_col)
+    return predict(docs, train(docs, id_col, text_col, lang_col, lines_per_language), id_col, text_col)
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                least_score: float = LEAST_SCORE) -> DataFrame:
-    """The documents with a language and words at least ``least_score`` sure, of one language or several, with all their columns."""
-    found = identify(docs, id_col, text_col, lang_col)
+    """The documents with a language and words at least ``least_score`` sure, of one language or several, with all their columns.
+
+    Where no labelled text exists nothing can be told apart: all documents stay, and a warning says so.
+    """
+    model = train(docs, id_col, text_col, lang_col)
+    if not model.languages:
+        warnings.warn("no labelled text to learn languages from; all documents stay", stacklevel=2)
+        return docs
+    found = predict(docs, model, id_col, text_col)
     bad = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("sure") < least_score)) \
         .select(F.col("id").alias("__i"), F.col("check").alias("__c")).distinct()
     check = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))

@@ -75,18 +75,19 @@ def fingerprint(text: bytes | None, size: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
-    """row, id and fp (the fingerprint as a signed number) of every document."""
+    """row, id, check (hash of the text) and fp (the fingerprint as a signed number) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             found = np.array([fingerprint(t, size) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("id"), pa.array(found)], ["row", "id", "fp"])
+                [batch.column("row"), batch.column("id"), batch.column("check"), pa.array(found)], ["row", "id", "check", "fp"])
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    check = F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("check")
+    source = docs.select(F.col(id_col).alias("id"), check, F.col(text_col).cast("binary").alias("text"))
     rows = with_row(dealt(source))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, id {kind}, fp long")
+    return rows.mapInArrow(run, f"row long, id {kind}, check long, fp long")
 
 
 # ---- the tree ---------------------------------------------------------------------------------
@@ -262,7 +263,7 @@ def groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
-    """Per document: row, id, fp, component_id (smallest id of its group)."""
+    """Per document: row, id, check (hash of its text), fp, root (names its group), component_id (smallest id of its group)."""
     if shingle < 1 or not 0 <= max_bits < 64:
         raise ValueError("a shingle needs a word, and bits lie between 0 and 63")
     marked = settle(fingerprints(docs, id_col, text_col, shingle))
@@ -270,12 +271,32 @@ def groups(
     linked = fingerprint_groups(distinct, max_bits, leaf_rows)
     rooted = settle(distinct.join(linked, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    verdict = join_sliced(rooted, lowest, ["root"], "fp").select("fp", "component_id")
-    return join_sliced(marked, verdict, ["fp"], "row").select("row", "id", "fp", "component_id")
+    verdict = join_sliced(rooted, lowest, ["root"], "fp").select("fp", "root", "component_id")
+    return join_sliced(marked, verdict, ["fp"], "row").select("row", "id", "check", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """One document of each group, that of the smallest id, with all its columns; ids must be unique."""
-    found = groups(docs, id_col, text_col, **settings)
-    gone = found.filter(F.col("id") != F.col("component_id")).select(F.col("id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti")
+    """One document of each group, with all its columns.
+
+    It is the one of the smallest id (null last), then of the smaller text hash. Documents are told apart by id and text, so a different
+    text under the same id is judged on its own. Of rows equal in id and text the least in all columns stays.
+    """
+    found = settle(groups(docs, id_col, text_col, **settings))
+    name = F.struct(F.col("id").isNull().alias("no_id"), "id", "check")
+    first = found.groupBy("root").agg(F.min(name).alias("keeper"))
+    members = found.groupBy("root", "id", "check").agg(F.count("*").alias("n"))
+    judged = settle(join_sliced(settle(members), first, ["root"], "check")
+                    .select("id", "check", "n", (F.col("keeper") == name).alias("stays")))
+    check = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+    def pairs(rows: DataFrame):
+        named = rows.select(F.col("id").alias("__i"), F.col("check").alias("__c")).distinct()
+        return named, F.col(id_col).eqNullSafe(F.col("__i")) & (check == F.col("__c"))
+
+    left = docs.join(*pairs(judged.filter("NOT stays")), "left_anti")
+    repeated = judged.filter("stays AND n > 1")
+    if repeated.isEmpty():
+        return left
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    single = left.join(*pairs(repeated), "left_semi").groupBy(F.col(id_col).alias("__i"), check.alias("__c")).agg(F.min(whole).alias("__row"))
+    return left.join(*pairs(repeated), "left_anti").unionByName(single.select("__row.*"))

@@ -225,17 +225,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: row, id, score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays: workers need not know this package's classes.
+    shared = docs.sparkSession.sparkContext.broadcast((model.features, model.weights))
+    bias = model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        values, look = byte_values(letter_bytes()), Lookup(m.features)
+        features, weights = shared.value
+        values, look = byte_values(letter_bytes()), Lookup(features)
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").to_pylist()]
-            z = np.full(len(texts), m.bias)
+            z = np.full(len(texts), bias)
             for first, last in chunks(texts):
                 text, feature = look(texts[first:last], values)
-                z[first:last] += np.bincount(text, m.weights[feature], minlength=last - first)
+                z[first:last] += np.bincount(text, weights[feature], minlength=last - first)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("id"), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))],
                 ["row", "id", "score"])

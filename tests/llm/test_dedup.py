@@ -185,3 +185,18 @@ def test_components_of_a_long_chain_and_a_star(spark):
     found = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(50)}}
     assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def kept(docs):
+    return sorted((r.doc_id is None, r.doc_id or 0, r.text or "", r.source or "") for r in simhash.keep_first(docs).collect())
+
+
+def test_first_of_each_group_by_id_and_text(spark):
+    a, b = "alpha beta gamma delta " * 9, "some quite different text with words of its own"
+    assert kept(shared.docs(spark, [(3, a), (5, a), (5, b)])) == [(False, 3, a, ""), (False, 5, b, "")]
+    # Equal rows: one stays, the least in its other columns. Null ids come last.
+    rows = [(3, a, "en", "z"), (3, a, "en", "y"), (None, a), (None, a), (None, b), (None, b)]
+    assert kept(shared.docs(spark, rows)) == [(False, 3, a, "y"), (True, 0, b, "")]
+    out = kept(shared.docs(spark, shared.ODD))
+    # 1, 2, 3 and a null row are blank and one group; 4 and both rows of 5 are equal texts.
+    assert [x[1] for x in out if not x[0]] == [1, 4, 6, 7, 7, 8, 9] and [x[2] for x in out if x[0]] == ["no id here"]

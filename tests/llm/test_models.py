@@ -158,7 +158,8 @@ def test_language_learns_from_single_lines_over_the_bound(spark):
     rows += [(100 + i, "".join(chr(0x4E00 + rng.randrange(500)) for _ in range(900)), "zh") for i in range(30)]
     assert all(len(r[1].encode()) > 1_000 and "\n" not in r[1] for r in rows)
     docs = shared.docs(spark, rows)
-    lines = language.training_lines(docs, "doc_id", "text", "lang", 1_000)
+    sampled = language.sampled_lines(docs, "doc_id", "text", "lang", 1_000)
+    lines = language.chosen_lines([tuple(r) for r in sampled.toPandas().itertuples(index=False)], 1_000)
     assert {lang for lang, _ in lines} == {"aa", "mm", "zh", "zz"} and all(len(x) <= 1_000 for _, x in lines)
     texts = [t.encode() for _, t, _ in rows]
     assert any(not any(t.startswith(x) for t in texts) for _, x in lines)
@@ -178,6 +179,28 @@ def test_documents_in_three_known_languages_stay(spark):
     assert {r.doc_id for r in language.keep_known(docs).collect()} == {*range(90), 1000}
 
 
+def test_equal_lines_count_once_and_all_lines_are_bounded():
+    rows = [(5, "en", b"shared")] * 50 + [(i, lang, b"%d" % i) for i in range(10, 40) for lang in ("en", "de")]
+    lines = language.chosen_lines(rows, 20)
+    assert lines.count(("en", b"shared")) == 1 and sum(lang == "en" for lang, _ in lines) == 20
+    assert len(language.chosen_lines(rows, 20, most=10)) == 10
+
+
+def test_parts_of_a_long_line_are_judged_once_each():
+    line = np.repeat([0, 1, 2, 3], [150, 1, 7, 64])
+    at, starts, lengths, judged = language.chains_of(line, 10, 4)
+    assert sorted(at[judged].tolist()) == list(range(len(line)))
+    assert (np.diff(lengths) <= 0).all() and lengths.max() == 18 and len(at) == lengths.sum()
+    for s, n in zip(starts.tolist(), lengths.tolist()):
+        assert (np.diff(at[s:s + n]) == 1).all() and len(set(line[at[s:s + n]].tolist())) == 1
+
+
+def test_a_corpus_without_labels_stays_whole(spark):
+    docs = shared.docs(spark, [(1, "no labels here"), (2, "none here")])
+    with pytest.warns(UserWarning, match="no labelled text"):
+        assert {r.doc_id for r in language.keep_known(docs).collect()} == {1, 2}
+
+
 def test_language_und(spark):
     rows = [(1, "the and of", "en"), (2, "der die das", "de"), (3, None), (4, "— … 123"), (5, "漢字")]
     found = {r.id: r.lang_pred for r in language.identify(shared.docs(spark, rows * 5)).collect()}

@@ -1,6 +1,9 @@
 """Every stage against a plain version, on the stage's own input."""
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -92,3 +95,31 @@ def test_stages_take_odd_tables(spark, tmp_path, name, rows):
     assert out.count() <= 2 * len(rows)
     if name != "mix":
         assert out.columns == docs.columns
+
+
+ALONE = """
+import sys, tempfile
+sys.path.insert(0, ROOT)
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local-cluster[1,2,1500]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2")
+         .config("spark.executor.memory", "1g").config("spark.checkpoint.dir", FOLDER).getOrCreate())
+from gristmill.llm import queries
+from pyspark.sql import functions as F
+def absent(batches):
+    import importlib.util
+    for batch in batches:
+        assert importlib.util.find_spec("gristmill") is None
+        yield batch
+spark.range(1).mapInArrow(absent, "id long").collect()
+for name in NAMES:
+    assert queries.QUERIES[name](spark, SF).count() > 0, name
+"""
+
+
+def test_workers_need_no_package(sf, tmp_path):
+    names = ["op5_toxicity", "op8_language", "op11_importance_resample", "op12_quality_rules", "op13_token_alignment"]
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    script = f"ROOT, SF, FOLDER, NAMES = {root!r}, {sf!r}, {str(tmp_path)!r}, {names!r}\n{ALONE}"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-3000:]
