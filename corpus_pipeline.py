@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gristmill.llm import decontaminate, language, line_dedup, mixing, simhash
 from gristmill.llm.common import table
-from gristmill.plans.lineage import shared_dir
+from gristmill.plans.lineage import remove, scratch, shared_dir
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a recognised language."""
+    """Drop documents without a recognised language; all stay where no document has a label to learn from."""
     return language.keep_known(docs)
 
 
@@ -27,7 +27,7 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash group."""
+    """Keep one document of each SimHash group, that of the smallest id."""
     return simhash.keep_first(docs)
 
 
@@ -53,8 +53,12 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, in order."""
     docs = table(spark, sf_dir, "documents")
     base = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         path = f"{base}/{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch(spark):  # what a stage wrote for itself goes with its end
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

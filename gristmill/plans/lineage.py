@@ -48,10 +48,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for path in _OPEN.pop():
-            target = spark._jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(hadoop).delete(target, True)
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def small_side(df: DataFrame, max_rows: int = 10_000, max_bytes: int = 32 << 20) -> DataFrame:
