@@ -5,45 +5,32 @@ Input: id, embedding, label and fold. Output: id, fold, p (one probability per c
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import StorageLevel
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from gristmill.functions.scores import dot, sigmoid, squared_distance
+from gristmill.operators import newton
+
+MODELS = "fold int, weights array<double>, bias double, penalty double"
 
 
-def fold_models(
-    df: DataFrame, regularization_c: float = 0.1, max_iter: int = 100, parallel_fits: int = 4, tol: float = 1e-6,
-) -> DataFrame:
+def fold_models(df: DataFrame, regularization_c: float = 0.1, max_iter: int = 50, tol: float = 1e-8) -> DataFrame:
     """fold, weights, bias, penalty: a logistic regression per fold, fitted on the other folds.
 
-    A penalty of 1 / (C n) on the mean loss equals the usual C on the summed loss. The
-    fits run side by side.
+    A penalty of 1 / (C n) on the mean loss equals the usual C on the summed loss. All
+    folds are fitted together: each pass over the rows serves every model.
     """
-    rows = df.select("id", "fold", F.col("label").cast("double").alias("label"),
-                     array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {r["fold"]: r["count"] for r in rows.groupBy("fold").count().collect()}
-    total = sum(sizes.values())
-
-    def fit(fold: int):
-        penalty = 1.0 / (regularization_c * (total - sizes[fold]))
-        model = LogisticRegression(
-            regParam=penalty, elasticNetParam=0.0, standardization=False, family="binomial", maxIter=max_iter, tol=tol,
-        ).fit(rows.filter(F.col("fold") != fold))
-        return fold, [float(w) for w in model.coefficients.toArray()], float(model.intercept), penalty
-
-    try:
-        with ThreadPool(min(parallel_fits, len(sizes))) as pool:
-            models = pool.map(fit, sorted(sizes))
-    finally:
-        rows.unpersist()
+    rows = newton.packed_rows(df)
     # One row per fold.
-    return df.sparkSession.createDataFrame(models, "fold int, weights array<double>, bias double, penalty double")
+    facts = {r.fold: r for r in rows.groupBy("fold").agg(F.count("*").alias("n"), F.max(F.octet_length("vec")).alias("size")).collect()}
+    if not facts:
+        return df.sparkSession.createDataFrame([], MODELS)
+    folds, total = sorted(facts), sum(r.n for r in facts.values())
+    penalties = [1.0 / (regularization_c * max(1, total - facts[f].n)) for f in folds]
+    fits = newton.fit(rows, folds, penalties, max(r.size for r in facts.values()) // 8, max_iter, tol)
+    models = [(f, [float(v) for v in w[:-1]], float(w[-1]), c) for f, w, c in zip(folds, fits.weights, penalties)]
+    return df.sparkSession.createDataFrame(models, MODELS)
 
 
 def gradient_norms(df: DataFrame, models: DataFrame) -> DataFrame:
@@ -61,11 +48,9 @@ def gradient_norms(df: DataFrame, models: DataFrame) -> DataFrame:
     return sums.select("fold", "rows", F.sqrt(squares).alias("gradient"))
 
 
-def logistic_probabilities(
-    df: DataFrame, regularization_c: float = 0.1, max_iter: int = 100, parallel_fits: int = 4
-) -> DataFrame:
+def logistic_probabilities(df: DataFrame, regularization_c: float = 0.1, max_iter: int = 50) -> DataFrame:
     """All rows scored in one pass, each by the logistic regression that hasn't seen its fold."""
-    weights = fold_models(df, regularization_c, max_iter, parallel_fits)
+    weights = fold_models(df, regularization_c, max_iter)
     p = sigmoid(dot(F.col("embedding"), F.col("weights")) + F.col("bias"))
     return df.join(F.broadcast(weights), "fold").select("id", "fold", p.alias("p1")) \
         .select("id", "fold", F.array(1.0 - F.col("p1"), F.col("p1")).alias("p"))

@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gristmill.functions.packed import matrix as _matrix, pack as _pack, vectors as _vectors
 from gristmill.plans.joins import hot_join
 from gristmill.plans.lineage import settle, small_side
 
@@ -84,36 +85,6 @@ def _slices(batches):
             yield batch.slice(start, VISIT_ROWS)
 
 
-def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Packed vectors of one width to a 2-D array without a Python loop."""
-    chunks = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
-    parts = [_packed_values(c).reshape(len(c), -1) for c in chunks if len(c)]
-    return np.vstack(parts) if parts else np.zeros((0, 1))
-
-
-def _packed_values(column: pa.Array, kind: type = np.float64) -> np.ndarray:
-    """All numbers packed in a binary column, one after another."""
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
-    return np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].view(kind) if ends[-1] > ends[0] else np.zeros(0, kind)
-
-
-def _pack(matrix: np.ndarray) -> pa.Array:
-    """Each row of a matrix as one binary value."""
-    rows = np.ascontiguousarray(matrix)
-    width = rows.shape[1] * rows.itemsize
-    offsets = np.arange(len(rows) + 1, dtype=np.int32) * width
-    return pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
-
-
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """List column to a 2-D array without a Python loop."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(len(column), -1).astype(np.float64, copy=False)
-
-
 def _chords(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (a @ b.T)))
 

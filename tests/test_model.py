@@ -204,3 +204,29 @@ def test_issue_log_lines(spark):
         "", "labels: 9 rows -> 9 rows, 1 relabelled", "y_true 0, y_pred 1, text: x",
         "", "outliers: 9 rows -> 8 rows, 0 relabelled",
         "", "### outlier (score 0.2500)", "label: POSITIVE (1)", "text: y"]
+
+
+def test_many_regressions_in_shared_passes(spark):
+    import numpy as np
+    from gristmill.operators import newton
+
+    rng = np.random.default_rng(7)
+    x, fold = rng.normal(size=(400, 5)), rng.integers(1, 4, 400)
+    y = (x @ rng.normal(size=5) + 0.5 + rng.normal(size=400) > 0).astype(int)
+    df = spark.createDataFrame([(int(f), int(v), [float(u) for u in r]) for f, v, r in zip(fold, y, x)],
+                               "fold int, label int, embedding array<double>").repartition(5)
+    rows = newton.packed_rows(df)
+    folds, penalties = [1, 2, 3, 1, newton.EVERY_FOLD], [0.01, 0.01, 0.01, 1.0, 0.1]
+    fits = newton.fit(rows, folds, penalties, 6)
+    assert (fits.gradients < 1e-8).all() and fits.passes < 12
+    ones = np.hstack([x, np.ones((400, 1))])
+    for w, f, c in zip(fits.weights, folds, penalties):
+        mine = fold != f
+        p = 1 / (1 + np.exp(-ones[mine] @ w))
+        slope = ones[mine].T @ (p - y[mine]) / mine.sum() + c * np.append(w[:-1], 0.0)
+        assert np.abs(slope).max() < 1e-7
+    # A model without rows, and rows of one class only, end without harm.
+    alone = newton.fit(newton.packed_rows(df.filter("fold = 1")), [1, 2], [0.1, 0.1], 6)
+    assert np.isfinite(alone.weights).all() and (alone.weights[0] == 0).all()
+    same = newton.fit(newton.packed_rows(df.filter("label = 1")), [newton.EVERY_FOLD], [0.1], 6)
+    assert np.isfinite(same.weights).all() and same.weights[0, -1] > 5
