@@ -2,11 +2,11 @@
 
 import uuid
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from gristmill.catalog import cleaning, inputs, sampling as sampled
 from gristmill.functions import text as tx
-from gristmill.operators import classifier, label_model, metrics, sampling
+from gristmill.operators import classifier, label_model, metrics, sampling, training_path
 from gristmill.plans import workflow
 from gristmill.plans.lineage import settle, shared_dir
 from gristmill.sources.stages import read_stage
@@ -125,6 +125,48 @@ def train_evaluate(spark, sf):
     return metrics.evaluate(settle(train_select_score(spark, sf)))
 
 
+def _path(spark, sf, folder, steps):
+    splits = settle(sampling.split_corpus(inputs.corpus(spark, sf, per_token=True)))
+    valid = splits.filter("split = 'valid'")
+    return training_path.train_path(splits.filter("split = 'train'"), valid, folder, max_steps=steps), valid
+
+
+def _path_folder(spark):
+    return f"{shared_dir(spark)}/gristmill-path-{uuid.uuid4().hex}"
+
+
+def train_path_dictionary(spark, sf):
+    """Every token that varies over the training rows, its number and the documents that hold it."""
+    folder = _path_folder(spark)
+    _path(spark, sf, folder, 1)
+    return spark.read.parquet(f"{folder}/dictionary").select("slot", "token", "documents")
+
+
+def train_path_first_steps(spark, sf):
+    """What the first two steps of the path give on training and validation rows, for every penalty."""
+    found, _ = _path(spark, sf, _path_folder(spark), 1)
+    return found.steps.select("step", "place", "reg_param", *[
+        F.round(c, 6).alias(c) for c in ("train_loss", "penalised", "log_loss", "MCC")])
+
+
+def train_path_best(spark, sf):
+    """A path broken off after two steps and taken up again: the weights it returns are those of its best step."""
+    folder = _path_folder(spark)
+    _path(spark, sf, folder, 2)
+    found, valid = _path(spark, sf, folder, 6)
+    scored = classifier.score_by_table(valid, found.weights, found.intercept)
+    again = metrics.log_loss(scored).scalar()
+    lowest = F.min("log_loss")
+    steps = found.steps.withColumn("before", F.min(F.when(F.col("accepted"), F.col("penalised"))).over(
+        Window.partitionBy("place").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)))
+    facts = steps.agg(
+        F.count_distinct("step").alias("steps"), F.count_distinct("place").alias("penalties"),
+        (F.abs(lowest - F.max(F.when((F.col("step") == found.step) & (F.col("place") == found.place), F.col("log_loss")))) == 0).alias("lowest"),
+        (F.count_if(F.col("accepted") & (F.col("penalised") > F.col("before"))) == 0).alias("falls"), lowest.alias("best"))
+    return facts.withColumn("same", F.abs(F.col("best") - again) < 1e-9).drop("best") \
+        .crossJoin(scored.agg(F.count("*").alias("valid_rows")))
+
+
 def stream_score(spark, sf):
     """All documents as a stream of files, cleaned and scored into a folder."""
     base = f"{shared_dir(spark)}/gristmill-stream-{uuid.uuid4().hex}"
@@ -155,6 +197,9 @@ QUERIES = {
     "train_select_score": train_select_score,
     "train_trials": train_trials,
     "train_evaluate": train_evaluate,
+    "train_path_dictionary": train_path_dictionary,
+    "train_path_first_steps": train_path_first_steps,
+    "train_path_best": train_path_best,
     "stream_score": stream_score,
     "full_run": full_run,
 }
@@ -165,7 +210,43 @@ SPACES = "concat(" + ", ".join(f"chr({ord(c)})" for c in tx.WHITE_SPACE) + ")"
 _SCORES = """SELECT id, round(p_pos, 6) AS p_pos, CAST(p_pos >= 0.5 AS INTEGER) AS pred,
   CASE WHEN p_pos >= 0.5 THEN 'positive' ELSE 'negative' END AS label_name FROM word_scored"""
 
+# Counts over their standard deviation, then one step of unit length down the gradient at zero.
+_PATH = f"""WITH {inputs.CORPUS}, marked AS ({sampled.SQL['split_corpus']}),
+docs AS (SELECT c.id, c.text, c.label, split = 'train' AS learns FROM marked JOIN corpus c USING (id) WHERE split IN ('train', 'valid')),
+size AS (SELECT CAST(count_if(learns) AS DOUBLE) AS train, CAST(count_if(NOT learns) AS DOUBLE) AS valid FROM docs),
+entries AS (SELECT id, label, learns, token, count(*) AS n
+  FROM (SELECT id, label, learns, unnest({inputs.TOKEN_LIST}) AS token FROM docs) GROUP BY id, label, learns, token),
+counted AS (SELECT token, count(*) AS documents,
+    sqrt((CAST(sum(n * n) AS DOUBLE) - any_value(train) * pow(sum(n) / any_value(train), 2)) / (any_value(train) - 1)) AS spread
+  FROM entries, size WHERE learns GROUP BY token),
+words AS (SELECT * FROM counted WHERE spread > 1e-9)"""
+_PATH_STEPS = _PATH + """,
+x AS (SELECT id, label, learns, token, n / spread AS x FROM entries JOIN words USING (token)
+  UNION ALL SELECT id, label, learns, '', 1.0 FROM docs),
+slopes AS (SELECT token, coalesce(sum((0.5 - label) * x) FILTER (learns), 0) / any_value(train) AS g FROM x, size GROUP BY token),
+weights AS (SELECT token, -g / sqrt((SELECT sum(g * g) FROM slopes)) AS w FROM slopes),
+points AS (SELECT id, label, learns, sum(x * w) AS z FROM x JOIN weights USING (token) GROUP BY id, label, learns
+  ),
+judged AS (SELECT 1 AS step, label, learns, z FROM points UNION ALL SELECT 0, label, learns, 0.0 FROM docs),
+losses AS (SELECT step, learns, label, z >= 0 AS says, greatest(z, 0) + ln(1 + exp(-abs(z))) - label * z AS loss FROM judged),
+facts AS (SELECT step, avg(loss) FILTER (learns) AS train_loss, avg(loss) FILTER (NOT learns) AS log_loss,
+    CAST(count_if(NOT learns AND says AND label = 1) AS DOUBLE) AS tp, CAST(count_if(NOT learns AND says AND label = 0) AS DOUBLE) AS fp,
+    CAST(count_if(NOT learns AND NOT says AND label = 1) AS DOUBLE) AS fn,
+    CAST(count_if(NOT learns AND NOT says AND label = 0) AS DOUBLE) AS tn
+  FROM losses GROUP BY step),
+held AS (SELECT sum(w * w) AS squares FROM weights WHERE token <> '')
+SELECT CAST(step AS INTEGER) AS step, place, reg_param, round(train_loss, 6) AS train_loss,
+  round(train_loss + 0.5 * reg_param * step * squares, 6) AS penalised, round(log_loss, 6) AS log_loss,
+  round(CASE WHEN (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn) > 0
+    THEN (tp * tn - fp * fn) / sqrt((tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)) ELSE 0.0 END, 6) AS "MCC"
+FROM facts, held, (VALUES (0, CAST(0.001 AS DOUBLE)), (1, CAST(0.01 AS DOUBLE)), (2, CAST(0.1 AS DOUBLE))) p(place, reg_param)"""
+
 SQL = {
+    "train_path_dictionary": _PATH + """
+SELECT row_number() OVER (ORDER BY token) AS slot, token, documents FROM words""",
+    "train_path_first_steps": _PATH_STEPS,
+    "train_path_best": f"""SELECT 7 AS steps, 3 AS penalties, true AS lowest, true AS falls, true AS same, count(*) AS valid_rows
+FROM ({sampled.SQL['split_corpus']}) WHERE split = 'valid'""",
     "oof_logreg_fits": f"""WITH {inputs.NOISY},
 folds AS (SELECT CAST(ntile(5) OVER (PARTITION BY label ORDER BY id) AS INTEGER) AS fold FROM noisy)
 SELECT f.fold, count(*) AS rows, true AS optimal FROM (SELECT DISTINCT fold FROM folds) f

@@ -58,6 +58,12 @@ def remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, wherever it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def small_side(df: DataFrame, max_rows: int = 10_000, max_bytes: int = 32 << 20) -> DataFrame:
     """``df`` as a join side: broadcast when it is measured to be small, else left alone.
 
