@@ -7,6 +7,7 @@ from pyspark.sql import Window, functions as F
 from gristmill.catalog import cleaning, explaining, inputs, quality, sampling as sampled, scanning, scoring
 from gristmill.catalog.modelling import SCORER
 from gristmill.operators import attribution, classifier, clean, metrics, sampling, scan
+from gristmill.plans import workflow
 from gristmill.plans.lineage import shared_dir
 from gristmill.sources import reviews as source, sinks
 from gristmill.sources.stages import read_stage, write_previews, write_stage
@@ -50,6 +51,34 @@ def load_without_id(spark, sf):
         .unionByName(facts(cleaned.filter("label = 1"), "positive", F.length("text")))
 
 
+def content_ids(spark, sf):
+    """The id of every review without an id column, where one more review fills a third of the table."""
+    path = f"{_folder(spark)}/reviews"
+    rows = inputs.reviews(spark, sf).select("id", "negative", "positive")
+    same = rows.filter("id % 2 = 0").select("id", F.lit("No Negative").alias("negative"), F.lit(None).cast("string").alias("positive"))
+    rows.unionByName(same).repartition(16, "id").select("negative", "positive").write.parquet(path)
+    loaded = source.load_reviews(spark, path, negative_col="negative", positive_col="positive")
+    return loaded.select("id", F.md5(F.concat_ws("|", F.coalesce("negative", F.lit("-")), F.coalesce("positive", F.lit("-")))).alias("digest"))
+
+
+def inference(spark, sf):
+    """All documents scored by a whole run's saved model, against its own test scores and by its threshold."""
+    base = f"{shared_dir(spark)}/gristmill-run-{uuid.uuid4().hex}"
+    corpus = inputs.corpus(spark, sf, per_token=True)
+    write_stage(corpus, base, "quality_fixed")
+    settings = workflow.Settings(reg_params=(0.1,))
+    workflow.run_split(spark, base, settings)
+    workflow.run_tune(spark, base, settings)
+    workflow.run_evaluate(spark, base, settings)
+    found = workflow.run_inference(spark, base, inputs.texts(spark, sf))
+    before = read_stage(spark, base, "scored").select("id", F.col("p_pos").alias("before"))
+    fine = (F.col("pred") == (F.col("p_pos") >= 0.5).cast("int")) & F.col("p_pos").between(0.0, 1.0) \
+        & (F.col("label_name") == F.when(F.col("p_pos") >= 0.5, "positive").otherwise("negative"))
+    return found.join(before, "id", "left").select(
+        "id", "text", fine.alias("fine"), F.col("before").isNotNull().alias("tested"),
+        F.coalesce(F.col("before") == F.col("p_pos"), F.lit(True)).alias("same"))
+
+
 def quality_log_text(spark, sf):
     """The issue log written as text files and read back: every line with its number over all files."""
     base = _folder(spark)
@@ -117,6 +146,8 @@ def findings_export(spark, sf):
 QUERIES = {
     "load_formats": load_formats,
     "load_without_id": load_without_id,
+    "content_ids": content_ids,
+    "inference": inference,
     "previews": previews,
     "stored_splits": stored_splits,
     "stored_tokens": stored_tokens,
@@ -140,6 +171,13 @@ SELECT 'loaded' AS part, count(*) AS rows, count(*) AS ids, CAST(0 AS BIGINT) AS
     AS chars FROM reviews
 UNION ALL SELECT 'negative', count(*), count(*), 0, CAST(sum(length(text)) AS BIGINT) FROM cleaned WHERE label = 0
 UNION ALL SELECT 'positive', count(*), count(*), 0, CAST(sum(length(text)) AS BIGINT) FROM cleaned WHERE label = 1""",
+    "content_ids": f"""WITH {inputs.REVIEWS},
+rows AS (SELECT trim(negative, {cleaning.SPACES}) AS negative, trim(positive, {cleaning.SPACES}) AS positive FROM reviews
+  UNION ALL SELECT 'No Negative', NULL FROM reviews WHERE id % 2 = 0)
+SELECT row_number() OVER (ORDER BY md5(coalesce(negative, chr(30)) || chr(31) || coalesce(positive, chr(30)))) - 1 AS id,
+  md5(coalesce(negative, '-') || '|' || coalesce(positive, '-')) AS digest FROM rows""",
+    "inference": f"""SELECT d.doc_id AS id, d.text, true AS fine, s.id IS NOT NULL AS tested, true AS same
+FROM documents d LEFT JOIN (SELECT * FROM ({sampled.SQL['split_corpus']}) WHERE split = 'test') s ON s.id = d.doc_id""",
     "previews": f"""WITH {inputs.REVIEWS}
 SELECT id, 'neg' AS part, coalesce(negative, '<none>') AS text FROM reviews
 UNION ALL SELECT id, 'pos', coalesce(positive, '<none>') FROM reviews""",

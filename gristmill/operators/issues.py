@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gristmill.functions.scores import arg_max
-from gristmill.operators.ordering import exact_median, keys_at_tied_ranks, with_quantile_bucket
+from gristmill.operators.ordering import exact_median, keys_at_tied_ranks
 
 # Share of the median nearest distance below which two rows are near duplicates.
 NEAR_DUPLICATE_SHARE = 0.13
@@ -135,7 +135,7 @@ def _noise_rate_issues(judged: DataFrame, classes: int) -> DataFrame:
         ).filter("other <> label").select(
             F.concat_ws(">", "label", "other").alias("pair"), "id",
             (F.col("p")[F.col("label")] - F.col("p")[F.col("other")]).alias("margin"))
-        cuts = keys_at_tied_ranks(with_quantile_bucket(pairs, "margin"),
+        cuts = keys_at_tied_ranks(pairs,
                                   spark.createDataFrame(wanted, "pair string, cut int, rank long"),
                                   "pair", "margin").select("pair", "key")
         flagged = pairs.join(F.broadcast(cuts), "pair") \

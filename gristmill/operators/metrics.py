@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gristmill.functions.scores import predicted
-from gristmill.operators.ordering import with_quantile_bucket, with_running_count
+from gristmill.operators.ordering import in_ranges, with_running_count
 from gristmill.plans.lineage import settle
 
 
@@ -63,7 +63,7 @@ def auroc(scored: DataFrame) -> DataFrame:
 
 
 def _auroc(folded: DataFrame) -> DataFrame:
-    running = with_running_count(with_quantile_bucket(folded, "p_pos"), "p_pos", "neg")
+    running = with_running_count(in_ranges(folded, "p_pos"), "p_pos", "neg")
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     below = F.col("upto").cast("double") - neg
     return running.agg(

@@ -8,11 +8,14 @@ wanted rank, a table of a few rows, so the large table itself is only compared w
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from gristmill.plans.lineage import settle
+
 BUCKET = "bucket"
-# Rows a bucket should have; the number of buckets grows with the table.
+# Range partitions; None leaves their number to the session.
+BUCKETS: int | None = None
+# Rows a bucket of digests should have; the number of such buckets grows with the table.
 BUCKET_ROWS = 50_000
 
 
@@ -29,26 +32,15 @@ def hash_bucket(key: Column, rows: int) -> Column:
     return F.substring(key, 1, digits)
 
 
-def with_quantile_bucket(df: DataFrame, column: str, buckets: int | None = None) -> DataFrame:
-    """Add ``bucket``: about equal row counts, ascending with ``column``.
+def in_ranges(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` written in range partitions of ``column``, with ``bucket``, the partition's number.
 
-    Rows equal in ``column`` share a bucket. There is a bucket for each ``BUCKET_ROWS`` rows unless a number
-    is given. The splits come from a quantile sketch; only balance depends on the
-    sketch, never a result.
+    Buckets ascend with ``column`` and rows equal in it share one, so fold rows first where values repeat. How many there are is the
+    session's number of shuffle partitions; the driver picks that many bounds from a sample of fixed size
+    a partition, however many rows there are. Only balance depends on the sample, never a result.
     """
-    if buckets is None:
-        buckets = max(1, -(-df.count() // BUCKET_ROWS))
-    shares = [i / buckets for i in range(1, buckets)]
-    narrow = df.select(F.col(column).cast("double").alias(column))
-    found = narrow.approxQuantile(column, shares, 0.25 / buckets) if shares else []
-    inner = sorted(set(found))
-    splits = [float("-inf"), *inner, float("inf")]
-    if len(splits) < 3:
-        return df.withColumn(BUCKET, F.lit(0.0))
-    key = "__as_double"
-    bucketed = Bucketizer(splits=splits, inputCol=key, outputCol=BUCKET, handleInvalid="keep") \
-        .transform(df.withColumn(key, F.col(column).cast("double")))
-    return bucketed.drop(key)
+    ranged = rows.repartitionByRange(column) if BUCKETS is None else rows.repartitionByRange(BUCKETS, column)
+    return settle(ranged.withColumn(BUCKET, F.spark_partition_id()))
 
 
 def keys_at_ranks(rows: DataFrame, wanted: DataFrame, stratum: str, order: list[str]) -> DataFrame:
@@ -90,8 +82,7 @@ def with_running_count(per_value: DataFrame, column: str, measure: str) -> DataF
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row, ``median``. Equal values are folded before they are ranked."""
     values = df.select(column).filter(F.col(column).isNotNull())
-    per_value = with_quantile_bucket(values, column) \
-        .groupBy(BUCKET, column).agg(F.count("*").alias("n"))
+    per_value = in_ranges(values.groupBy(column).agg(F.count("*").alias("n")), column)
     ranked = with_running_count(per_value, column, "n")
     total = per_value.agg(F.sum("n")).scalar()
     lower = F.min(F.when(F.col("upto") >= F.floor((total + 1) / 2), F.col(column)))
@@ -105,7 +96,7 @@ def keys_at_tied_ranks(rows: DataFrame, wanted: DataFrame, stratum: str, value:
     The value at a rank comes from counts per distinct value. Only then are the rows that
     have just that value ranked, by id, in even buckets of ids.
     """
-    folded = rows.groupBy(stratum, BUCKET, value).agg(F.count("*").alias("n"))
+    folded = in_ranges(rows.groupBy(stratum, value).agg(F.count("*").alias("n")), value)
     offsets = folded.groupBy(stratum, BUCKET).agg(F.sum("n").alias("own")).select(
         stratum, BUCKET,
         (F.sum("own").over(Window.partitionBy(stratum).orderBy(BUCKET)) - F.col("own")).alias("offset"))
@@ -120,7 +111,7 @@ def keys_at_tied_ranks(rows: DataFrame, wanted: DataFrame, stratum: str, value:
     step = F.concat_ws(":", F.col(stratum).cast("string"), F.col("cut").cast("string"))
     tied = rows.join(F.broadcast(hits), stratum).filter(F.col(value) == F.col("at")).select(
         step.alias("step"), "id")
-    keys = keys_at_ranks(with_quantile_bucket(tied, "id"),
+    keys = keys_at_ranks(in_ranges(tied, "id"),
                          hits.select(step.alias("step"), "cut", "rank"), "step", ["id"])
     return hits.select(step.alias("step"), stratum, "at").join(F.broadcast(keys), "step").select(
         stratum, "cut", F.struct(F.col("at").alias(value), F.col("key")["id"].alias("id")).alias("key"))

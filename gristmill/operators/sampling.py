@@ -80,7 +80,7 @@ def _segment(df: DataFrame, ends: dict, label: str | None, seed: int | None, nam
         own_key = F.struct(od.hash_key(seed).alias("__hash"), F.col("id"))
     else:
         order = ["id"]
-        rows = od.with_quantile_bucket(settle(keyed.select(STRATUM, "id")), "id")
+        rows = od.in_ranges(keyed.select(STRATUM, "id"), "id")
         own_key = F.struct(F.col("id"))
 
     type_of = dict(keyed.dtypes)[STRATUM]

@@ -72,9 +72,9 @@ def test_seed_changes_the_sample(spark):
     assert a != b
 
 
-@pytest.mark.parametrize("bucket_rows", [7, 100_000])
-def test_folds_are_even_runs_of_ids(spark, monkeypatch, bucket_rows):
-    monkeypatch.setattr(ordering, "BUCKET_ROWS", bucket_rows)
+@pytest.mark.parametrize("buckets", [None, 16])
+def test_folds_are_even_runs_of_ids(spark, monkeypatch, buckets):
+    monkeypatch.setattr(ordering, "BUCKETS", buckets)
     rows = sampling.assign_folds(table(spark, 103, positives=23), folds=4).collect()
     for label in (0, 1):
         ordered = [r.fold for r in sorted(rows, key=lambda r: r.id) if r.label == label]
@@ -90,10 +90,10 @@ def test_full_rows_are_not_shuffled(spark):
 
 
 @pytest.mark.parametrize("values", [[3.0], [1.0, 2.0], [5.0] * 40 + [1.0, 9.0], [float(i % 7) for i in range(101)]])
-@pytest.mark.parametrize("bucket_rows", [7, 100_000])
-def test_exact_median(spark, monkeypatch, values, bucket_rows):
+@pytest.mark.parametrize("buckets", [None, 16])
+def test_exact_median(spark, monkeypatch, values, buckets):
     import statistics
-    monkeypatch.setattr(ordering, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(ordering, "BUCKETS", buckets)
     df = spark.createDataFrame([(v,) for v in values], "d double")
     assert ordering.exact_median(df, "d").first()["median"] == statistics.median(values)
 
@@ -101,11 +101,10 @@ def test_exact_median(spark, monkeypatch, values, bucket_rows):
 @pytest.mark.parametrize("rank", [1, 250, 400])
 def test_ranks_inside_a_hot_value(spark, monkeypatch, rank):
     """A value held by most rows is ranked by id, in buckets of ids."""
-    monkeypatch.setattr(ordering, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(ordering, "BUCKETS", 16)
     df = spark.range(400).select(
         "id", F.lit(0).alias("s"), F.when(F.col("id") % 10 < 8, 0.5).otherwise(F.col("id") / 400.0).alias("v"))
     wanted = spark.createDataFrame([(0, 0, rank)], "s int, cut int, rank long")
-    key = ordering.keys_at_tied_ranks(
-        ordering.with_quantile_bucket(df, "v", 16), wanted, "s", "v").first()["key"]
+    key = ordering.keys_at_tied_ranks(df, wanted, "s", "v").first()["key"]
     expected = sorted((r.v, r.id) for r in df.collect())[rank - 1]
     assert (key["v"], key["id"]) == expected
