@@ -3,7 +3,7 @@
 Sources share ``share`` times all words by weight. No target may pass ``cap`` times its source's
 words; the excess is shared again, by weight, until none is above. A source's budget is
 its target rounded down. Whole epochs of the source are taken first. For the rest, documents
-stand in the order of a random key (a digest of seed and id): the key range is cut into
+stand in the order of a random key (a digest of seed, id and text): the key range is cut into
 buckets, words are summed per bucket, buckets get their offset, and inside a bucket a
 running sum gives every document the words before it. The document at the cut gives just the
 words that fill the budget.
@@ -12,7 +12,7 @@ No window spans a source: a bucket holds about ``bucket_rows`` rows whatever the
 rank of a source's name is found from range partitions.
 
 Null text has no words. A null source is a source of its own, last in order. Words of all rows
-count, rows with equal ids too (their order is that of their text's hash, and equal rows
+count, rows with equal ids too (their texts tell them apart, and equal rows
 are interchangeable). No words at all: all targets are zero. Extra columns are ignored.
 """
 
@@ -33,7 +33,8 @@ def sized(docs: DataFrame, seed: int = 0, id_col: str = "doc_id", text_col: str
           source_col: str = "source") -> DataFrame:
     """row, id, check, source, size and the random key of every document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    label = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # With the text in it, rows that share an id, or have none, still spread over the key range.
+    label = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.md5(text))
     return with_row(docs.select(
         F.col(id_col).alias("id"), F.xxhash64(text).alias("check"), F.col(source_col).alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.md5(label).alias("key")))

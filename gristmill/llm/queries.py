@@ -63,7 +63,7 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 # A source is capped while the level at which it would be the next open one lies above it.
 OP3 = r"""
 WITH sized AS (
-  SELECT doc_id, source, md5('0:' || doc_id::VARCHAR) AS key,
+  SELECT doc_id, source, md5('0:' || doc_id::VARCHAR || ':' || md5(coalesce(text, ''))) AS key,
     len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
   FROM documents),
 sources AS (
