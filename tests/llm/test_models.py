@@ -85,6 +85,21 @@ def test_random_strings_score_above_identifiers(spark):
     assert sum([(s.kind, s.start, s.end) for s in spans] == [("markov", 4, 36)] for spans in hits) >= 95
 
 
+def test_ordinary_tokens_with_digits_are_no_secrets(spark):
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = lambda: "".join(rng.choice(letters) for _ in range(32))
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    plain = [lambda: f"20{number(2)}-01-{number(2)}T12-00-{number(2)}Z", lambda: f"PART-{number(4)}-{number(5)}-REV{number(1)}",
+             lambda: f"release_v{number(1)}-{number(2)}-{number(3)}_build{number(4)}", lambda: f"invoice/20{number(2)}/{number(8)}"]
+    rows = [(i, f"password={secret()} see config_reader_value") for i in range(200)]
+    rows += [(1000 + i, f"on {plain[i % 4]()} we") for i in range(400)]
+    rows += [(2000 + i, f"on {secret()} we") for i in range(100)]
+    found = {r.id: [s.kind for s in r.spans] for r in secrets.find_secrets(shared.docs(spark, rows)).collect()}
+    assert sum("markov" in found[1000 + i] for i in range(400)) <= 4
+    assert sum(found[2000 + i] == ["markov"] for i in range(100)) >= 95
+
+
 def test_markov_models_count_every_document(spark):
     rng = random.Random(4)
     secret = lambda: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(32))
