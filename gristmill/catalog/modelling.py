@@ -128,7 +128,8 @@ def train_evaluate(spark, sf):
 def _path(spark, sf, folder, steps):
     splits = settle(sampling.split_corpus(inputs.corpus(spark, sf, per_token=True)))
     valid = splits.filter("split = 'valid'")
-    return training_path.train_path(splits.filter("split = 'train'"), valid, folder, max_steps=steps), valid
+    # More patience than steps: the queries look at a path of a set length.
+    return training_path.train_path(splits.filter("split = 'train'"), valid, folder, max_steps=steps, patience=steps + 1), valid
 
 
 def _path_folder(spark):
