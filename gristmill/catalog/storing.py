@@ -10,7 +10,7 @@ from gristmill.operators import attribution, classifier, clean, metrics, samplin
 from gristmill.plans import workflow
 from gristmill.plans.lineage import shared_dir
 from gristmill.sources import reviews as source, sinks
-from gristmill.sources.stages import read_stage, write_previews, write_stage
+from gristmill.sources.stages import check_stage, manifests, read_stage, write_previews, write_stage
 
 
 def _folder(spark):
@@ -113,6 +113,19 @@ def stored_tokens(spark, sf):
     return back.select("id", F.size("tokens").alias("tokens"), F.md5(F.array_join("tokens", " ")).alias("digest"))
 
 
+def stage_manifest(spark, sf):
+    """What the manifests say of a run's first stages: rows and columns of each."""
+    base = _folder(spark)
+    workflow.run_load(inputs.reviews(spark, sf), base)
+    corpus = workflow.run_clean(spark, base)
+    write_stage(corpus.select("id", "text", "label"), base, "quality_fixed")
+    workflow.run_split(spark, base)
+    stages = ("raw_preview", "neg_preview", "pos_preview", "clean", "quality_fixed", "splits")
+    for stage in stages:
+        check_stage(spark, base, stage)
+    return manifests(spark, base, stages).drop("write_id")
+
+
 def metrics_json(spark, sf):
     path = f"{_folder(spark)}/metrics"
     sinks.write_metrics(metrics.evaluate(inputs.scored(spark, sf)), path)
@@ -151,6 +164,7 @@ QUERIES = {
     "previews": previews,
     "stored_splits": stored_splits,
     "stored_tokens": stored_tokens,
+    "stage_manifest": stage_manifest,
     "metrics_json": metrics_json,
     "quality_log_text": quality_log_text,
     "attribution_export": attribution_export,
@@ -184,6 +198,13 @@ UNION ALL SELECT id, 'pos', coalesce(positive, '<none>') FROM reviews""",
     "stored_splits": f"SELECT id, label FROM ({sampled.SQL['split_corpus']}) WHERE split = 'test'",
     "stored_tokens": f"""SELECT id, CAST(len(tokens) AS INTEGER) AS tokens, md5(array_to_string(tokens, ' ')) AS digest
 FROM (SELECT doc_id AS id, {inputs.TOKEN_LIST} AS tokens FROM documents)""",
+    "stage_manifest": f"""WITH {inputs.REVIEWS},
+cleaned AS ({cleaning.SQL['clean_reviews']})
+SELECT part || '_preview' AS stage, count(*) AS rows, columns
+FROM reviews, (VALUES ('raw', 'id,negative,positive'), ('neg', 'id,text'), ('pos', 'id,text')) p(part, columns) GROUP BY part, columns
+UNION ALL SELECT stage, count(*), columns FROM cleaned,
+  (VALUES ('clean', 'id,text,label'), ('quality_fixed', 'id,text,label'), ('splits', 'id,text,label,split')) c(stage, columns)
+GROUP BY stage, columns""",
     "quality_log_text": f"""WITH {quality._ROUND},
 logged AS (
   SELECT 'near_duplicate' AS kind, 1 AS step, id, near_duplicate_score AS score, 0 AS given, 0 AS predicted
