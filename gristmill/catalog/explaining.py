@@ -42,6 +42,8 @@ def attribution_samples(spark, sf):
 QUERIES = {
     "token_attributions": lambda spark, sf: _rows(_found(spark, sf)),
     "token_attributions_positive": lambda spark, sf: _rows(_found(spark, sf, target=1)),
+    # As beside a weight table too large to broadcast.
+    "token_attributions_large": lambda spark, sf: _rows(_found(spark, sf, broadcast_rows=0)),
     "attribution_totals": attribution_totals,
     "token_effects": token_effects,
     "attribution_samples": attribution_samples,
@@ -68,6 +70,7 @@ _COLUMNS = """SELECT id, true_label, pred_label, round(p_pos, 6) AS p_pos, round
 SQL = {
     "token_attributions": f"WITH {_attributed()} {_COLUMNS}",
     "token_attributions_positive": f"WITH {_attributed('1')} {_COLUMNS}",
+    "token_attributions_large": f"WITH {_attributed()} {_COLUMNS}",
     "attribution_totals": f"""WITH {_attributed()}
 SELECT id, count(*) AS tokens, round(sum(attr), 6) + 0.0 AS attr_sum, round(sqrt(sum(attr * attr)), 6) AS attr_norm
 FROM attributed GROUP BY id""",

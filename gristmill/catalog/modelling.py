@@ -38,6 +38,13 @@ def score_by_table(spark, sf):
         inputs.texts(spark, sf), lambda df: classifier.score_by_table(df, weights, inputs.INTERCEPT)))
 
 
+def score_by_table_large(spark, sf):
+    """The same scores as beside a weight table too large to broadcast."""
+    weights = spark.createDataFrame(list(inputs.WORD_WEIGHTS.items()), "token string, weight double")
+    return _result(classifier.score_texts(inputs.texts(spark, sf), lambda df: classifier.score_by_table(
+        df, weights, inputs.INTERCEPT, broadcast_rows=0)))
+
+
 def oof_logreg_probs(spark, sf):
     rows = settle(sampling.assign_folds(inputs.noisy(spark, sf)))
     return label_model.logistic_probabilities(rows).select(
@@ -188,6 +195,7 @@ QUERIES = {
     "tokenize_cut": tokenize_cut,
     "batch_score": lambda spark, sf: _result(classifier.score_texts(inputs.texts(spark, sf), SCORER)),
     "score_by_table": score_by_table,
+    "score_by_table_large": score_by_table_large,
     "oof_logreg_probs": oof_logreg_probs,
     "oof_logreg_fits": oof_logreg_fits,
     "oof_logreg_rows": oof_logreg_rows,
@@ -269,6 +277,7 @@ FROM (SELECT doc_id AS id, {inputs.TOKEN_LIST} AS tokens FROM documents)""",
 FROM (SELECT doc_id AS id, list_slice({inputs.TOKEN_LIST}, 1, 512) AS tokens FROM documents)""",
     "batch_score": f"WITH {_DOCS}, {inputs.WEIGHTS}, {inputs.word_scores('docs')} {_SCORES}",
     "score_by_table": f"WITH {_DOCS}, {inputs.WEIGHTS}, {inputs.word_scores('docs')} {_SCORES}",
+    "score_by_table_large": f"WITH {_DOCS}, {inputs.WEIGHTS}, {inputs.word_scores('docs')} {_SCORES}",
     "stream_score": f"""WITH stripped AS (SELECT doc_id AS id, lower(trim(text, {SPACES})) AS text FROM documents),
 kept AS (SELECT * FROM stripped WHERE NOT regexp_full_match(text, '{_TERMS}') AND length(text) >= 1),
 {inputs.WEIGHTS}, {inputs.word_scores('kept')} {_SCORES}""",

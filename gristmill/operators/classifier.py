@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from gristmill.functions import text as tx
 from gristmill.functions.scores import predicted, sigmoid
 from gristmill.operators import metrics
+from gristmill.plans.joins import frequent_join
 from gristmill.plans.lineage import settle, small_side
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -140,20 +141,22 @@ def word_scorer(weights: dict[str, float], intercept: float = 0.0) -> Scorer:
     return score
 
 
-def score_by_table(df: DataFrame, weights: DataFrame, intercept: float = 0.0, key: str = "id") -> DataFrame:
+def score_by_table(
+    df: DataFrame, weights: DataFrame, intercept: float = 0.0, key: str = "id", broadcast_rows: int = 300_000,
+) -> DataFrame:
     """Linear scoring with a weight table (token, weight) of any size.
 
     Beside a table measured to be small, weights are summed per text before the one shuffle. Beside a
-    larger one tokens are counted per text first, so a frequent token is one row per text in the join.
+    larger one tokens are counted per text first; the frequent ones meet their weights by broadcast, the rest by shuffle.
     """
     placed = df.select(key, F.explode(tx.tokens(F.col("text"))).alias("token"))
     table = weights.select("token", "weight")
-    side = small_side(table, 300_000)
+    side = small_side(table, broadcast_rows)
     if side is not table:
         totals = placed.join(side, "token").groupBy(key).agg(F.sum("weight").alias("total"))
     else:
-        totals = placed.groupBy(key, "token").agg(F.count("*").alias("n")).join(table, "token") \
-            .groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("total"))
+        counted = placed.groupBy(key, "token").agg(F.count("*").alias("n"))
+        totals = frequent_join(counted, table, "token").groupBy(key).agg(F.sum(F.col("n") * F.col("weight")).alias("total"))
     return df.join(totals, key, "left").withColumn(
         "p_pos", sigmoid(F.coalesce("total", F.lit(0.0)) + F.lit(float(intercept)))).drop("total")
 

@@ -1,5 +1,6 @@
 import json
 import os
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +8,11 @@ from pyspark.sql import functions as F
 from gristmill.functions import scores, text as tx
 from gristmill.operators import attribution, classifier, scan
 from gristmill.plans import lineage, workflow
+from gristmill.plans.joins import frequent_join, frequent_keys
 from gristmill.sources import reviews as source, sinks
-from gristmill.sources.stages import MissingStage, read_stage, write_stage
+from gristmill.sources.stages import (
+    MissingStage, check_stage, commit_stage, content_state, manifest, read_stage, write_stage,
+)
 from gristmill.streaming import scoring
 
 
@@ -98,6 +102,68 @@ def test_missing_stage_is_named(spark, tmp_path):
         workflow.run_quality(spark, str(tmp_path))
 
 
+def test_half_written_stage_is_refused(spark, tmp_path):
+    base = str(tmp_path)
+    write_stage(spark.range(4), base, "x")
+    broken = spark.range(8).withColumn("id", F.when(F.col("id") < 7, F.col("id")).otherwise(F.raise_error(F.lit("killed")).cast("long")))
+    with pytest.raises(Exception, match="killed"):
+        write_stage(broken, base, "x")
+    spark.range(3).write.mode("overwrite").parquet(f"{base}/x")  # files of a write that never committed
+    with pytest.raises(MissingStage, match="not finished"):
+        read_stage(spark, base, "x")
+    commit_stage(spark, base, "x")
+    assert manifest(spark, base, "x").rows == 3 and read_stage(spark, base, "x").count() == 3
+
+
+def test_lost_files_are_noticed(spark, tmp_path):
+    base = str(tmp_path)
+    write_stage(spark.range(0, 40, 1, 4), base, "x")
+    spark.range(5).write.mode("overwrite").parquet(f"{base}/x")
+    with pytest.raises(MissingStage, match="5 rows, 40 were written"):
+        check_stage(spark, base, "x")
+    lineage.remove(spark, f"{base}/x")
+    with pytest.raises(MissingStage, match="gone"):
+        read_stage(spark, base, "x").count()
+
+
+def test_content_state_goes_by_rows_not_order(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "id long, `a.b` string")
+    assert content_state(df) == content_state(df.orderBy(F.desc("id")).repartition(3).select("`a.b`", "id"))
+    assert len({content_state(d) for d in (df, df.distinct(), df.limit(0), df.withColumn("id", F.col("id") + 1),
+                                           df.withColumnRenamed("id", "n"))}) == 5
+
+
+def test_killed_run_goes_on(spark, reviews, tmp_path, monkeypatch):
+    base, called = str(tmp_path), []
+    settings = workflow.Settings(sample_size=80, keep_near_duplicates="first", cv_folds=3, reg_params=(0.1,), scan_min_rows=3)
+    loaded = reviews.toDF("id", "negative", "positive")
+    names = [step.name for step in workflow.STEPS]
+    for name in names:
+        def note(*args, _name=name, _step=getattr(workflow, f"run_{name}"), **settings):
+            called.append(_name)
+            return _step(*args, **settings)
+        monkeypatch.setattr(workflow, f"run_{name}", note)
+    saved = classifier.save_model
+    monkeypatch.setattr(classifier, "save_model", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        workflow.run_all(loaded, base, settings, resume=True)
+    monkeypatch.setattr(classifier, "save_model", saved)
+    assert called == names[:5]
+    del called[:]
+    first = workflow.run_all(loaded, base, settings, resume=True).first()
+    assert called == names[4:]
+    del called[:]
+    assert workflow.run_all(loaded, base, settings, resume=True).first() == first and called == []
+    # Another setting runs again what reads it and all that follows; so does a stage written by someone else.
+    workflow.run_all(loaded, base, replace(settings, hard_examples=2), resume=True)
+    assert called == names[5:]
+    del called[:]
+    commit_stage(spark, base, "findings")
+    workflow.run_all(loaded, base, replace(settings, hard_examples=2), resume=True)
+    assert called == names[6:]
+    assert not workflow.step_done(spark, base, "clean", "another state")
+
+
 def test_stages_overwrite(spark, tmp_path):
     for n in (3, 2):
         assert write_stage(spark.range(n), str(tmp_path), "x").count() == n
@@ -133,6 +199,34 @@ def test_outside_scorer(spark):
     assert {r.id: r.p_pos for r in got} == {1: 0.3, 2: 0.5}
 
 
+@pytest.mark.parametrize("keep_unknown", [False, True])
+def test_frequent_tokens_join_apart_from_the_rest(spark, keep_unknown):
+    # A third of all places is one token with a weight, a third one without; the rest is long-tailed.
+    rows = [(i, f"the of {'w%d' % (i % 7)} {'rare%d' % i} the of", i % 2) for i in range(600)] + [(600, None, 0), (601, "", 1)]
+    df = corpus(spark, rows)
+    weights = spark.createDataFrame(
+        [("the", 0.25), ("unseen", 3.0)] + [(f"w{i}", float(i - 3)) for i in range(7)] + [(f"rare{i}", i / 600) for i in range(0, 600, 2)],
+        "token string, weight double")
+    small, large = (sorted(map(tuple, attribution.attribute_tokens(
+        df, weights, 0.1, keep_unknown=keep_unknown, broadcast_rows=n).collect())) for n in (300_000, 0))
+    assert len(small) == len(large) and all(a[:3] == b[:3] and a[5:7] == b[5:7] and a[3:] == pytest.approx(b[3:]) for a, b in zip(small, large))
+    near, far = ({r.id: r.p_pos for r in classifier.score_by_table(df, weights, 0.1, broadcast_rows=n).collect()} for n in (300_000, 0))
+    assert near == pytest.approx(far)
+
+
+def test_frequent_keys_are_all_that_are_frequent(spark):
+    places = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, F.lit(None)).otherwise(
+        F.concat(F.lit("t"), F.col("id").cast("string"))).alias("token"))
+    found = {r.token for r in frequent_keys(places, "token", 0.01).collect()}
+    assert "hot" in found and None not in found and len(found) <= 100
+    table = spark.createDataFrame([("hot", 1.0), ("t1", 2.0), ("t1000", 3.0)], "token string, weight double")
+    for how in ("inner", "left"):
+        plain = places.join(table, "token", how)
+        assert sorted(map(str, frequent_join(places, table, "token", how, 0.01).collect())) == sorted(map(str, plain.collect()))
+    with pytest.raises(ValueError, match="how"):
+        frequent_join(places, table, "token", "outer")
+
+
 def test_attributions(spark):
     df = corpus(spark, [(1, "good bad good", 1), (2, "nothing known", 0)])
     weights = spark.createDataFrame([("good", 0.5), ("bad", -1.0)], "token string, weight double")
