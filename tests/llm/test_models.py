@@ -108,15 +108,36 @@ def test_markov_models_count_every_document(spark):
     assert (secrets.train(few) == secrets.train(few.unionByName(rest))).all()
 
 
-def test_labelers_are_weighed_and_wider_kinds_found(spark):
-    good = [(i, f"Please call, phone: (262) 555-{1000 + i} today") for i in range(60)]
-    bad = [(100 + i, f"order total version 262.555.{1000 + i}7z item") for i in range(60)]
-    found = {r.id: r.spans for r in pii.find_personal_data(shared.docs(spark, good + bad)).collect()}
-    assert sum(any(s.kind == "tel" for s in found[i]) for i, _ in good) >= 55
-    assert not any(found[i] for i, _ in bad)
-    patterns = [("email", (1, 1, 1, 1), 2, 50), ("email", (1, 0, 0, 0), 2, 50)]
+def test_one_number_is_accepted_here_and_refused_there(spark):
+    good = [(i, f"Please call, phone: {262 + i}-555-{1000 + i} today") for i in range(60)]
+    bad = [(100 + i, f"the item of order total version {262 + i}-555-{1000 + i} was sent") for i in range(60)]
+    plain = [(200 + i, f"we met at noon {262 + i}-555-{1000 + i} and went") for i in range(60)]
+    both = [(300, "order 12 shipped, phone: 262-555-1000 ok"), (301, "phone us about version 262-555-1000 ok")]
+    found = {r.id: r.spans for r in pii.find_personal_data(shared.docs(spark, good + bad + plain + both)).collect()}
+    kinds = {i: [s.kind for s in spans] for i, spans in found.items()}
+    assert all(kinds[i] == ["tel"] for i, _ in good) and not any(kinds[i] for i, _ in bad)
+    assert sum(kinds[i] == ["tel"] for i, _ in plain) >= 55
+    assert kinds[300] == ["tel"] and kinds[301] == []
+
+
+def test_wider_kinds_are_checked(spark):
+    rows = [
+        (1, "iban: DE89 3704 0044 0532 0130 00 thanks"), (2, "iban: DE89 3704 0044 0532 0130 01 thanks"),
+        (3, "account GB82 WEST 1234 5698 7654 32."), (4, "patient Dr. Maria came"), (5, "the film Dr Strangelove came"),
+        (6, "ssn 123-45-6789"), (7, "ssn 000-45-6789"), (8, "call 911-555-1234 or page 111-111-1111"),
+    ] + [(10 + i, f"ask for name Mrs {n} please") for i, n in enumerate(["Adams", "Baker", "Clark", "Davis"] * 5)] \
+        + [(50 + i, f"see the novel Dr {n} please") for i, n in enumerate(["Adams", "Baker", "Clark", "Davis"] * 5)]
+    found = {r.id: [s.kind for s in r.spans] for r in pii.find_personal_data(shared.docs(spark, rows)).collect()}
+    assert [found[i] for i in range(1, 8)] == [["iban"], [], ["iban"], ["name"], [], ["ssn"], []]
+    assert all(found[10 + i] == ["name"] for i in range(20)) and not any(found[50 + i] for i in range(20))
+    assert found[8].count("tel") <= 1
+
+
+def test_posteriors_keep_labelers_meaning():
+    patterns = [("email", (1, 1, 1, 1), 50), ("email", (1, 0, 0, 0), 50), ("tel", (1, -1, 0, 1), 5), ("tel", (1, -1, -1, 1), 10**9)]
     posterior = pii.reliabilities(patterns)
     assert posterior["email", (1, 1, 1, 1)] > 0.9 > 0.5 > posterior["email", (1, 0, 0, 0)]
+    assert posterior["tel", (1, -1, -1, 1)] > 0.5 > posterior["tel", (1, -1, 0, 1)]
 
 
 def test_language_of_code_switched_words():
