@@ -31,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gristmill.llm.common import dealt, with_row
-from gristmill.plans.lineage import settle
+from gristmill.plans.lineage import settle, without_summary
 
 BASE = ("email", "ip", "card", "phone")
 WIDER = ("tel", "ssn", "iban", "name")
@@ -274,7 +274,8 @@ def train_classifier(marked: DataFrame, patterns: list, posterior: dict):
                     F.struct(F.lit(0.0).alias("label"), (1.0 - real).alias("weight")))
     weighed = with_features(drawn).select("features", share.alias("share"), F.explode(sides).alias("side")) \
         .select("features", "side.label", (F.col("side.weight") * F.col("share")).alias("weight"))
-    return LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=25, standardization=False).fit(weighed)
+    model = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=25, standardization=False).fit(weighed)
+    return without_summary(marked.sparkSession, model)
 
 
 def with_score(marked: DataFrame, model) -> DataFrame:

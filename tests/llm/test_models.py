@@ -120,6 +120,16 @@ def test_one_number_is_accepted_here_and_refused_there(spark):
     assert kinds[300] == ["tel"] and kinds[301] == []
 
 
+def test_personal_data_in_a_session_with_tags(spark):
+    rows = [(i, f"call {i} 212-555-{1000 + i} or mail a{i}@b.com") for i in range(20)]
+    spark.addTag("nightly")
+    try:
+        found = pii.find_personal_data(shared.docs(spark, rows)).collect()
+    finally:
+        spark.clearTags()
+    assert len(found) == 20 and all("email" in [s.kind for s in r.spans] for r in found)
+
+
 def test_wider_kinds_are_checked(spark):
     rows = [
         (1, "iban: DE89 3704 0044 0532 0130 00 thanks"), (2, "iban: DE89 3704 0044 0532 0130 01 thanks"),

@@ -249,6 +249,17 @@ def test_hashed_features_have_no_token_weights(spark):
         classifier.token_weights(trained.model)
 
 
+def test_models_go_to_tasks_from_a_session_with_tags(spark):
+    df = corpus(spark, [(i, "good day" if i % 2 else "bad day", i % 2) for i in range(20)])
+    spark.addTag("nightly")
+    try:
+        trained = classifier.train_classifier(df, df, reg_params=(0.1,))
+        scored = classifier.model_scorer(trained.model)(df).repartition(2).collect()
+    finally:
+        spark.clearTags()
+    assert all((r.p_pos > 0.5) == bool(r.label) for r in scored)
+
+
 def test_word_swaps_keep_everything_else(spark):
     df = corpus(spark, [(1, "He said: \"her,  dog\" – ok", 0)])
     got = df.select(scan.swap_transforms()["gender"].alias("t")).first().t
