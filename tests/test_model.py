@@ -5,6 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from gristmill.catalog import modelling
 from gristmill.functions import scores, text as tx
 from gristmill.operators import attribution, classifier, scan
 from gristmill.plans import lineage, workflow
@@ -97,6 +98,18 @@ def test_stream_equals_batch(spark, run, tmp_path):
     assert [r[0] for r in pump()] == [1, 3, 9]
 
 
+@pytest.mark.parametrize("files", [1, 3])
+def test_stream_query_reads_a_file_or_a_folder(spark, tmp_path, files):
+    rows = spark.createDataFrame([(1, "the room"), (2, "none"), (3, "a view")], "doc_id long, text string")
+    rows.repartition(files).write.parquet(f"{tmp_path}/written")
+    if files == 1:
+        part = [f for f in os.listdir(tmp_path / "written") if f.startswith("part-")][0]
+        os.link(tmp_path / "written" / part, tmp_path / "documents.parquet")
+    else:
+        rows.repartition(files).write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r.id for r in modelling.stream_score(spark, str(tmp_path)).collect()) == [1, 3]
+
+
 def test_missing_stage_is_named(spark, tmp_path):
     with pytest.raises(MissingStage, match="clean"):
         workflow.run_quality(spark, str(tmp_path))
