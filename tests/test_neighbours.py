@@ -98,6 +98,19 @@ def test_probing_misses_little_and_everything_is_exact(spark):
         nb.approximate_knn(index, 6, probes=0)
 
 
+def test_what_a_search_moves_does_not_grow_with_its_blocks(spark):
+    """Without structure every row visits every block; it still travels once a bundle, and k rows at most come back."""
+    from pyspark.sql import functions as F
+    raw = np.random.default_rng(4).normal(size=(2_000, 10))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(raw)], "id long, embedding array<double>")
+    index = nb.build_index(df, cell_rows=12, block_rows=16)
+    rows = index.groups.select("grp", "vec", "cell", "block", F.lit(2.0).alias("reach"))
+    found = nb._meet(index, rows, nb._wanted_cells, True, nb._solver(3), nb._PAIRS)
+    assert index.tree.blocks.sum() > 100 and found.count() <= 3 * len(raw) * 9
+    plan = settle(nb._meet(index, rows, nb._wanted_cells, True, nb._solver(3), nb._PAIRS)).groupBy("grp").count()
+    assert plan.filter("count < 3").count() == 0
+
+
 def test_single_row_and_small_tables(spark):
     one = spark.createDataFrame([(1, [1.0, 0.0])], "id long, embedding array<double>")
     assert nb.knn(nb.build_index(one), 3).first().neighbours == []
