@@ -299,6 +299,18 @@ def test_small_expressions(spark):
     assert row.p == pytest.approx(1 / (1 + 2.718281828459045 ** -1.0))
 
 
+def test_tokens_are_counted_without_a_shuffle(spark):
+    df = corpus(spark, [(1, "b a b. c", 0), (2, "", 0), (3, None, 0), (4, "x", 0), (5, "Y y", 0)])
+    counted = df.select("id", F.explode(tx.token_counts(F.col("text"))).alias("t")).select("id", "t.*")
+    assert sorted(map(tuple, counted.collect())) == [(1, "a", 1), (1, "b", 2), (1, "c", 1), (4, "x", 1), (5, "y", 2)]
+    # Beside a large table only tokens meet weights and sums meet rows: no text is put in order by its tokens first.
+    weights = spark.createDataFrame([("a", 1.0), ("b", 0.5), ("y", -1.0)], "token string, weight double")
+    scored = classifier.score_by_table(df, weights, broadcast_rows=0)
+    assert "hashpartitioning(id, token" not in scored._jdf.queryExecution().executedPlan().toString().replace("#", "").replace("L,", ",") \
+        .translate({ord(c): None for c in "0123456789"})
+    assert {r.id: round(r.p_pos, 6) for r in scored.collect()} == {1: 0.880797, 2: 0.5, 3: 0.5, 4: 0.5, 5: 0.119203}
+
+
 def test_texts_survive_the_sample_table(spark, tmp_path):
     text = 'a\tb\\n "quoted"\r\nline\\'
     df = corpus(spark, [(1, text, 1)])
