@@ -135,6 +135,41 @@ def test_sets_of_three(spark):
     assert {1, 2, 3} & {r.id for r in left} == {1}
 
 
+def test_documents_are_embedded_once(spark, monkeypatch, tmp_path):
+    from gristmill.catalog import neighbouring
+    rows = [(i, f"word{i % 7} other{i % 5} end{i}") for i in range(40)] + [(50, "word1 other1 end1")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, embed = spark.sparkContext.accumulator(0), neighbouring.vec.hashed_embeddings
+
+    def counted(df):
+        def look(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        found = embed(df)
+        return found.mapInArrow(look, found.schema)
+
+    monkeypatch.setattr(neighbouring.vec, "hashed_embeddings", counted)
+    shown = {r.id: r for r in neighbouring.duplicate_examples(spark, str(tmp_path)).collect()}
+    assert shown[1].text == "word1 other1 end1" and shown[1].duplicates.split("|")[0] == "word1 other1 end1"
+    assert seen.value == len(rows)
+
+
+def test_examples_of_repeated_ids_and_missing_texts(spark, tmp_path):
+    rows = [(1, "a"), (1, "A"), (2, None), (3, "c"), (4, "d"), (None, "n")]
+    spark.createDataFrame(rows, "id long, text string").write.parquet(f"{tmp_path}/corpus")
+    corpus = spark.read.parquet(f"{tmp_path}/corpus")
+    found = spark.createDataFrame(
+        [(1, True, 0.5, [3, 2, 9]), (1, True, 0.5, [3, 2, 9]), (2, True, 0.1, [1]), (3, True, 0.2, [9]), (4, False, 0.9, [1]), (8, True, 0.3, [4])],
+        "id long, is_near_duplicate_issue boolean, near_duplicate_score double, nearest_duplicates array<long>")
+    shown = repair.duplicate_examples(corpus, found)
+    assert shown.columns == ["id", "text", "near_duplicate_score", "duplicates"]
+    assert sorted(map(tuple, shown.collect()), key=str) == sorted([
+        (1, "a", 0.5, ["c", "c", None, None]), (1, "A", 0.5, ["c", "c", None, None]), (2, None, 0.1, ["A", "a"])], key=str)
+    # The plan reads the texts in one place.
+    assert shown._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_hot_keys_are_dealt_out(spark, monkeypatch, how):
     from pyspark.sql import functions as F
