@@ -181,3 +181,25 @@ def test_hot_keys_are_dealt_out(spark, monkeypatch, how):
     want = left.join(right, "k", how)
     assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, want.select("id", "k", "v").collect()))
     assert "__part" in got._jdf.queryExecution().analyzed().toString() and "__part" not in got.columns
+
+
+def test_single_precision_only_chooses_what_is_computed_again():
+    pick = np.random.default_rng(5)
+    rows = pick.standard_normal((300, 64))
+    rows[100:200] = rows[:100] + 1e-4 * pick.standard_normal((100, 64))
+    rows = np.hstack([rows / np.linalg.norm(rows, axis=1, keepdims=True), np.zeros((300, 1))])
+    true = rows @ rows.T
+    sim, room = nb._near(rows, rows)
+    assert sim.dtype == np.float32 and (np.abs(sim - true) <= room).all()
+    # Floors at the very products, few of which single precision gives: none of them is lost, with many entries above the floor or few.
+    for floor in (np.sort(true, axis=1)[:, -2], np.sort(true, axis=1)[:, 20]):
+        r, c, found = nb._again(nb._at_least(sim, room, floor), rows, rows)
+        got = set(zip(r.tolist(), c.tolist()))
+        assert got >= set(zip(*(x.tolist() for x in np.nonzero(true >= floor[:, None])))) and found == pytest.approx(true[r, c], abs=1e-14)
+    wants = (np.arange(300)[:, None] % 3 != np.arange(3)[None, :], np.repeat(np.arange(3), 100))
+    everywhere, ids = np.full(300, 2.0), np.arange(300)
+    for chosen in (None, wants):
+        r, c, d = nb._nearest_k(rows, rows, chosen, ids, ids, 4, everywhere)
+        for i in range(300):
+            open_ = [j for j in range(300) if j != i and (chosen is None or chosen[0][i, chosen[1][j]])]
+            assert list(zip(d[r == i], c[r == i])) == sorted((round(max(0.0, 1 - true[i, j]), 6), j) for j in open_)[:4]
