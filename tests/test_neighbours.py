@@ -203,3 +203,29 @@ def test_single_precision_only_chooses_what_is_computed_again():
         for i in range(300):
             open_ = [j for j in range(300) if j != i and (chosen is None or chosen[0][i, chosen[1][j]])]
             assert list(zip(d[r == i], c[r == i])) == sorted((round(max(0.0, 1 - true[i, j]), 6), j) for j in open_)[:4]
+
+
+def test_waves_move_a_bounded_number_of_vectors_and_change_nothing(spark, monkeypatch):
+    pick = np.random.default_rng(8)
+    data = [(i, [float(x) for x in row]) for i, row in enumerate(np.round(pick.standard_normal((400, 4)), 1))]
+    index = nb.build_index(spark.createDataFrame(data, "id long, embedding array<double>"), cell_rows=20, block_rows=40)
+    made, real = [], nb._waves
+
+    def counted(*args):
+        made.append(real(*args))
+        return made[-1]
+
+    def run():
+        near = {r.id: [(n.d, n.id) for n in r.neighbours] for r in nb.knn(index, 5).collect()}
+        probed = {r.id: [(n.d, n.id) for n in r.neighbours] for r in nb.approximate_knn(index, 5).collect()}
+        return near, probed, {r.id: (r.others, r.first_other) for r in nb.within(index, 0.05).collect()}
+
+    monkeypatch.setattr(nb, "_waves", counted)
+    whole = run()
+    assert len(index.tree.bundles) > 3 and all(len(w) == 1 for w in made)
+    made.clear()
+    monkeypatch.setattr(nb, "WAVE_BYTES", 1)
+    monkeypatch.setattr(nb, "WAVE_TIMES", 2)
+    assert run() == whole
+    assert all(len(w) > 2 and [a for a, _ in w[1:]] == [b for _, b in w[:-1]] and w[0][0] == 0 and w[-1][1] == len(index.tree.bundles) for w in made)
+    assert nb._waves({0: 3, 2: 1}, 10, 4, 50, 5) == [(0, 2), (2, 4)]
